@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 WORD_HEX_DIGITS = 10  # 40 bits: a word times a multiplier below 2**20 stays inside a BIGINT
 WORDS_PER_KEY = 3  # an md5 holds three such words
+PRIME = 2**39 - 7
 
 
 def string_key(col: Column | str, word: int = 0) -> Column:
@@ -25,9 +26,15 @@ def hash_parameters(k: int, seed: int = 28) -> list[tuple[int, int]]:
     return [(rng.randrange(1, 2**20, 2), rng.randrange(1, 2**20)) for _ in range(k)]
 
 
-def linear_hash(word: Column, a: int, b: int, modulus: int) -> Column:
-    """(a * word + b) mod modulus; never negative for words made by string_key."""
+def linear_hash(word: Column, a: int, b: int, modulus: int, prime: int | None = None) -> Column:
+    """(a * word + b) mod modulus; never negative for words made by string_key.
+
+    With ``prime`` the sum is first taken modulo that prime, which keeps hashes of one word apart for
+    any modulus below it.
+    """
     value = word * F.lit(a).cast("bigint") + F.lit(b).cast("bigint")
+    if prime is not None:
+        value = F.pmod(value, F.lit(prime).cast("bigint"))
     if modulus & (modulus - 1) == 0:
         return value.bitwiseAND(F.lit(modulus - 1).cast("bigint"))
     return F.pmod(value, F.lit(modulus).cast("bigint"))
@@ -44,4 +51,5 @@ def trailing_zeros(x: Column) -> Column:
 
 
 def power_of_two(r: Column) -> Column:
-    return F.shiftleft(F.lit(1).cast("bigint"), r.cast("int"))
+    """2 ** r as a BIGINT, for r up to 62."""
+    return F.call_function("shiftleft", F.lit(1).cast("bigint"), r.cast("int"))

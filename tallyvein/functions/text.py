@@ -39,8 +39,9 @@ def epoch_seconds(stamp: Column) -> Column:
 
     Reads the clock time as UTC whatever the session zone is.
     """
-    origin = F.expr("TIMESTAMP_NTZ'1970-01-01 00:00:00'")
-    return F.timestamp_diff("SECOND", origin, stamp.cast("timestamp_ntz"))
+    clock = stamp.cast("timestamp_ntz")
+    days = F.unix_date(clock.cast("date")).cast("bigint")
+    return days * 86400 + F.hour(clock) * 3600 + F.minute(clock) * 60 + F.second(clock)
 
 
 def list_length(value: Column, separator: str = ", ") -> Column:

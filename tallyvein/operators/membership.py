@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyvein.functions.hashing import hash_parameters, linear_hash, string_key
+from tallyvein.functions.hashing import PRIME, hash_parameters, linear_hash, power_of_two, string_key
 
 WORD_BITS = 63  # bits kept in one BIGINT, sign bit left alone
 BROADCAST_BYTES = 64 * 1024 * 1024
@@ -35,7 +35,7 @@ def filter_size(n_expected: int, k: int) -> int:
 
 
 def hash_positions(col: Column, size: int, parameters) -> list[Column]:
-    return [linear_hash(string_key(col, i), a, b, size) for i, (a, b) in enumerate(parameters)]
+    return [linear_hash(string_key(col, i), a, b, size, PRIME) for i, (a, b) in enumerate(parameters)]
 
 
 def hash_rows(df: DataFrame, col: str, size: int, parameters) -> DataFrame:
@@ -60,7 +60,7 @@ def bloom_build(df: DataFrame, col: str, n_expected: int | None = None, k: int =
         hash_rows(df.where(F.col(col).isNotNull()), col, size, parameters)
         .select(
             F.floor(spot / WORD_BITS).alias("word"),
-            _bit(spot).alias("bit"),
+            power_of_two(spot % WORD_BITS).alias("bit"),
         )
         .groupBy("word")
         .agg(F.bit_or("bit").alias("bits"))
@@ -68,10 +68,6 @@ def bloom_build(df: DataFrame, col: str, n_expected: int | None = None, k: int =
     return BloomFilter(words, size, parameters)
 
 
-def _bit(spot: Column) -> Column:
-    return F.call_function("shiftleft", F.lit(1).cast("bigint"), (spot % WORD_BITS).cast("int"))
-
-
 def bloom_probe(df: DataFrame, col: str, bloom: BloomFilter, name: str = "maybe_present") -> DataFrame:
     """Add whether the value may be in the filter: all k bits set.
 
@@ -84,7 +80,7 @@ def bloom_probe(df: DataFrame, col: str, bloom: BloomFilter, name: str = "maybe_
         for i, spot in enumerate(spots):
             side = F.broadcast(bloom.words.select(F.col("word").alias(f"_w{i}"), F.col("bits").alias(f"_b{i}")))
             out = out.join(side, F.floor(spot / WORD_BITS) == F.col(f"_w{i}"), "left")
-            hits.append(F.coalesce(F.col(f"_b{i}").bitwiseAND(_bit(spot)) != 0, F.lit(False)))
+            hits.append(F.coalesce(F.col(f"_b{i}").bitwiseAND(power_of_two(spot % WORD_BITS)) != 0, F.lit(False)))
         verdict = hits[0]
         for hit in hits[1:]:
             verdict = verdict & hit
@@ -92,7 +88,7 @@ def bloom_probe(df: DataFrame, col: str, bloom: BloomFilter, name: str = "maybe_
     spread = hash_rows(df.select(col).where(F.col(col).isNotNull()).distinct(), col, bloom.size, bloom.parameters)
     spot = F.col("position")
     hits = (
-        spread.select(col, F.floor(spot / WORD_BITS).alias("word"), _bit(spot).alias("bit"))
+        spread.select(col, F.floor(spot / WORD_BITS).alias("word"), power_of_two(spot % WORD_BITS).alias("bit"))
         .join(bloom.words, "word", "left")
         .groupBy(col)
         .agg(F.bool_and(F.coalesce(F.col("bits").bitwiseAND(F.col("bit")) != 0, F.lit(False))).alias(name))
