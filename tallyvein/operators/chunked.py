@@ -198,7 +198,7 @@ def start_chunks(chunk: DataFrame, k: int, folder: str, seed: int = 28, max_iter
     return _end_round(spark, state)
 
 
-def absorb_chunk(chunk: DataFrame, before: ChunkState, max_iter: int = 50, final: bool = False) -> ChunkState:
+def absorb_chunk(chunk: DataFrame, before: ChunkState, max_iter: int = 50) -> ChunkState:
     """One further round: place the points, cluster RS if it grew too large, merge CS clusters."""
     spark = chunk.sparkSession
     state = replace(
@@ -227,8 +227,13 @@ def absorb_chunk(chunk: DataFrame, before: ChunkState, max_iter: int = 50, final
         _keep_retained(single, state)
 
     _merge_within(state)
-    if final:
-        _merge_into_ds(state)
+    return _end_round(spark, state)
+
+
+def finish_chunks(spark: SparkSession, before: ChunkState) -> ChunkState:
+    """After the last chunk: merge CS into DS and count the last round anew."""
+    state = replace(before, ds=list(before.ds), merged=dict(before.merged), stats=[list(s) for s in before.stats[:-1]])
+    _merge_into_ds(state)
     return _end_round(spark, state)
 
 
@@ -293,7 +298,6 @@ def cluster_chunks(points: DataFrame, k: int, folder: str, seed: int = 28, max_i
     """All rounds over (point_id, features, chunk), in chunk order."""
     chunks = [r["chunk"] for r in points.select("chunk").distinct().orderBy("chunk").collect()]  # one row per file
     state = start_chunks(points.where(F.col("chunk") == F.lit(chunks[0])), k, folder, seed, max_iter)
-    for i, chunk in enumerate(chunks[1:], start=2):
-        part = points.where(F.col("chunk") == F.lit(chunk))
-        state = absorb_chunk(part, state, max_iter, final=i == len(chunks))
-    return state
+    for chunk in chunks[1:]:
+        state = absorb_chunk(points.where(F.col("chunk") == F.lit(chunk)), state, max_iter)
+    return finish_chunks(points.sparkSession, state)

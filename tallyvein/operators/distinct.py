@@ -83,6 +83,29 @@ def sketch_keyed(keyed: DataFrame, by: list[str] | None, k: int, bits: int, seed
     return fm_merge(rows.mapInArrow(_fold_batches(by, k, bits, seed), kinds), by)
 
 
+def hash_rows(keyed: DataFrame, by: list[str], k: int, bits: int, seed: int) -> DataFrame:
+    """k rows per row with keys, (by..., hash_no, hash), in built-in expressions only.
+
+    For streams, where a column must keep its watermark up to the aggregate.
+    """
+    family = F.array(
+        *[
+            F.struct(
+                F.lit(i).alias("no"),
+                F.lit(1 + i % WORDS_PER_KEY).alias("word"),
+                F.lit(a).cast("bigint").alias("a"),
+                F.lit(b).cast("bigint").alias("b"),
+            )
+            for i, (a, b) in enumerate(hash_parameters(k, seed))
+        ]
+    )
+    words = F.array(*[F.col(f"_key{i}") for i in range(WORDS_PER_KEY)])
+    spread = keyed.select(*by, words.alias("_words"), F.explode(family).alias("_h"))
+    value = F.element_at("_words", F.col("_h.word")) * F.col("_h.a") + F.col("_h.b")
+    hashed = value.bitwiseAND(F.lit(2**bits - 1).cast("bigint"))
+    return spread.select(*by, F.col("_h.no").alias("hash_no"), hashed.alias("hash"))
+
+
 def fm_merge(sketches: DataFrame, by: list[str] | None = None) -> DataFrame:
     totals = [F.sum("n_rows").alias("n_rows"), F.max("top").alias("top")]
     return sketches.groupBy(*(by or []), "hash_no").agg(*totals)

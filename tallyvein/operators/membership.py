@@ -85,6 +85,11 @@ def bloom_probe(df: DataFrame, col: str, bloom: BloomFilter, name: str = "maybe_
         for hit in hits[1:]:
             verdict = verdict & hit
         return out.select(*df.columns, verdict.alias(name))
+    return probe_by_word(df, col, bloom, name)
+
+
+def probe_by_word(df: DataFrame, col: str, bloom: BloomFilter, name: str = "maybe_present") -> DataFrame:
+    """The probe for filters of any size."""
     spread = hash_rows(df.select(col).where(F.col(col).isNotNull()).distinct(), col, bloom.size, bloom.parameters)
     spot = F.col("position")
     hits = (

@@ -1 +1,4 @@
+"""Registered queries. Importing this package fills the registry."""
 
+from tallyvein.plans import relational, scans, sketches  # noqa: F401
+from tallyvein.plans.registry import QUERIES  # noqa: F401
