@@ -90,7 +90,7 @@ def load_state(spark: SparkSession, folder: str, round_no: int) -> ChunkState:
     return ChunkState.from_json(spark.read.text(f"{folder}/state/round={round_no}").first()["value"])
 
 
-def _summaries(assigned: DataFrame) -> dict[int, Summary]:
+def summaries_of(assigned: DataFrame) -> dict[int, Summary]:
     """Summaries per cluster of labelled points; clusters * dimensions rows come back."""
     found: dict[int, Summary] = {}
     rows = label_moments(assigned).collect()
@@ -101,6 +101,19 @@ def _summaries(assigned: DataFrame) -> dict[int, Summary]:
     return dict(sorted(found.items()))
 
 
+def merge_candidates(summaries: list[Summary]) -> list[tuple[int, int, int, float, bool]]:
+    """(one, other, n, largest deviation, passes) for the union of every two summaries.
+
+    Works on cluster summaries only: their number is set by k, not by the data.
+    """
+    found = []
+    for i, one in enumerate(summaries):
+        for other in summaries[i + 1 :]:
+            union = one.plus(other)
+            found.append((one.cluster_id, other.cluster_id, union.n, float(union.deviation.max()), may_merge(one, other)))
+    return found
+
+
 def with_set(points: DataFrame, ds: list[Summary], cs: list[Summary]) -> DataFrame:
     """Add set_kind, cluster_id and distance: the nearest DS cluster inside the gate, else the nearest
     such CS cluster, else RS. The summaries stay as they are while a chunk is placed, so the result
@@ -147,7 +160,7 @@ def _cluster_into(points: DataFrame, k: int, state: ChunkState, path: str, max_i
     labelled.write.mode("overwrite").parquet(path)
     spark = points.sparkSession
     table = spark.read.schema(labelled.schema).parquet(path)
-    return table, _summaries(table)
+    return table, summaries_of(table)
 
 
 def _keep_labels(labelled: DataFrame, state: ChunkState, name: str) -> None:
@@ -211,7 +224,7 @@ def absorb_chunk(chunk: DataFrame, before: ChunkState, max_iter: int = 50) -> Ch
     placed = spark.read.schema(placed.schema).parquet(path)
     settled = placed.where(F.col("set_kind") != "RS")
     _keep_labels(settled, state, "placed")
-    gained = _summaries(settled)
+    gained = summaries_of(settled)
     state.ds = [s.plus(gained[s.cluster_id]) if s.cluster_id in gained else s for s in state.ds]
     state.cs = [s.plus(gained[s.cluster_id]) if s.cluster_id in gained else s for s in state.cs]
 

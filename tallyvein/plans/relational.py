@@ -173,10 +173,10 @@ def subset_test(spark, folder):
     return sets.select("o_custkey", (F.size(F.array_except("own", allowed)) == 0).alias("within"))
 
 
-@query("SET3", "SELECT p_partkey FROM part EXCEPT SELECT l_partkey FROM lineitem WHERE l_returnflag = 'R'")
+@query("SET3", "SELECT c_custkey FROM customer EXCEPT SELECT o_custkey FROM orders WHERE o_orderpriority = '1-URGENT'")
 def set_difference(spark, folder):
-    returned = table(spark, folder, "lineitem").where(F.col("l_returnflag") == "R").select(F.col("l_partkey").alias("p_partkey"))
-    return table(spark, folder, "part").select("p_partkey").join(returned, "p_partkey", "left_anti")
+    urgent = table(spark, folder, "orders").where(F.col("o_orderpriority") == "1-URGENT").select(F.col("o_custkey").alias("c_custkey"))
+    return table(spark, folder, "customer").select("c_custkey").join(urgent, "c_custkey", "left_anti")
 
 
 @query("M1", """SELECT c_custkey, round(ln(abs(c_acctbal) + 1), 6) AS log, round(sqrt(abs(c_acctbal)), 6) AS root,

@@ -64,8 +64,9 @@ def bloom_membership_large(spark, folder):
 
 
 @query("SK3", f"""WITH p AS ({_PROBED}), t AS (SELECT c_custkey, c_name IN (SELECT c_name FROM {_BUILD}) AS present FROM customer)
-    SELECT count(*) AS probes, count_if(present) AS members, count_if(maybe_present) AS passed,
-        count_if(maybe_present AND NOT present) AS false_positives, count_if(present AND NOT maybe_present) AS false_negatives,
+    SELECT count(*) AS probes, CAST(count_if(present) AS BIGINT) AS members, CAST(count_if(maybe_present) AS BIGINT) AS passed,
+        CAST(count_if(maybe_present AND NOT present) AS BIGINT) AS false_positives,
+        CAST(count_if(present AND NOT maybe_present) AS BIGINT) AS false_negatives,
         round(count_if(maybe_present AND NOT present) / count_if(NOT present), 6) AS false_positive_rate
     FROM p JOIN t USING (c_custkey)""")
 def bloom_report(spark, folder):

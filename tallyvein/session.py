@@ -21,6 +21,7 @@ def build_session(app: str = "tallyvein", cpus: str | int = "*", **conf: str) ->
         "spark.sql.shuffle.partitions": "8",
         "spark.driver.memory": os.environ.get("TALLYVEIN_DRIVER_MEMORY", "12g"),
         "spark.ui.enabled": "false",
+        "spark.ui.showConsoleProgress": "false",
         # Small local tables: keep all cores busy although the shuffles carry few bytes.
         "spark.sql.adaptive.coalescePartitions.minPartitionSize": "32k",
         "spark.sql.files.maxPartitionBytes": "2m",
