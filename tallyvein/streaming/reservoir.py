@@ -35,7 +35,7 @@ def merge_batch(batch: DataFrame, folder: str, batch_id: int, n: int = 100, seed
     tags = trending_tags(sample, "text", top)
     report = tags.select(F.lit(seen).cast("bigint").alias("n_seen"), "tag", "cnt")
     if sample.isEmpty():
-        report = spark.createDataFrame([(seen, None, None)], report.schema)
+        report = spark.createDataFrame([(seen, None, None)], "n_seen bigint, tag string, cnt bigint")
     report.coalesce(1).write.mode("overwrite").parquet(f"{folder}/report/batch_id={batch_id}")
 
 
