@@ -195,8 +195,8 @@ def frontier_expansion(spark, folder):
     both = graphs.mirror(cooccurring(spark, folder))
     start = both.select(F.col("src").alias("source"), F.col("src").alias("node")).distinct().withColumn("paths", F.lit(1.0))
     none = start.limit(0)
-    first = communities.frontier(communities.next_links(start, none, both))
-    second = communities.frontier(communities.next_links(first, start, both))
+    first = communities.next_level(start, none, both)
+    second = communities.next_level(first, start, both)
     return second.groupBy("source").agg(F.count("*").alias("reached"), F.sum("paths").cast("bigint").alias("paths"))
 
 

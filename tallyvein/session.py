@@ -8,7 +8,7 @@ import shutil
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
 _local_roots: dict[str, str] = {}
 
@@ -69,6 +69,12 @@ class Scratch:
         df.write.mode("overwrite").parquet(self.path(name))
         return self.read(name, df.schema)
 
+    def write_counted(self, df: DataFrame, name: str, **measures: Column) -> tuple[DataFrame, dict]:
+        """Write a table and return it with aggregates taken while it was written."""
+        seen = Observation()
+        table = self.write(df.observe(seen, *[column.alias(key) for key, column in measures.items()]), name)
+        return table, seen.get
+
     def read(self, name: str, schema) -> DataFrame:
         return self.spark.read.schema(schema).parquet(self.path(name))
 
