@@ -32,7 +32,7 @@ def endpoints(edges: DataFrame) -> DataFrame:
 
 def cooccurrence_graph(memberships: DataFrame, user: str, item: str, threshold: int) -> DataFrame:
     """(src, dst, cnt): users with at least ``threshold`` different items in common."""
-    pairs = shared_pairs(memberships, user, item, Rule(overlap=threshold))
+    pairs = shared_pairs(memberships, user, item, Rule(overlap=threshold), with_sizes=False)
     return pairs.select("src", "dst", F.col("overlap").alias("cnt"))
 
 

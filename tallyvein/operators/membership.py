@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyvein.functions.hashing import PRIME, hash_parameters, linear_hash, power_of_two, string_key
+from tallyvein.session import Scratch
 
 WORD_BITS = 63  # bits kept in one BIGINT, sign bit left alone
 BROADCAST_BYTES = 64 * 1024 * 1024
@@ -65,7 +66,8 @@ def bloom_build(df: DataFrame, col: str, n_expected: int | None = None, k: int =
         .groupBy("word")
         .agg(F.bit_or("bit").alias("bits"))
     )
-    return BloomFilter(words, size, parameters)
+    # A filter is built once and probed many times, so it is written like a model.
+    return BloomFilter(Scratch(df.sparkSession, "bloom").write(words, "words"), size, parameters)
 
 
 def bloom_probe(df: DataFrame, col: str, bloom: BloomFilter, name: str = "maybe_present") -> DataFrame:

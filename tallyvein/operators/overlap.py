@@ -96,8 +96,12 @@ def shared_pairs(
     expansion: float = 64.0,
     popular: int = 20_000,
     row_items: int = 512,
+    with_sizes: bool = True,
 ) -> DataFrame:
-    """(src, dst, overlap, src_size, dst_size) with src < dst for all pairs that pass the rule."""
+    """(src, dst, overlap, src_size, dst_size) with src < dst for all pairs that pass the rule.
+
+    Without ``with_sizes`` the sizes may be missing, which saves two joins where the rule needs none.
+    """
     scratch = Scratch(memberships.sparkSession, "overlap")
     clean = memberships.select(F.col(user).alias("user"), F.col(item).alias("item")).dropna().distinct()
     rows = scratch.write(clean, "memberships")
@@ -109,23 +113,25 @@ def shared_pairs(
     ).first()
     sizes = rows.groupBy("user").agg(F.count("*").alias("size"))
     if top <= popular and pairs <= expansion * max(n, 1):
-        return _expand(rows, rows, sizes, sizes, rule, F.col("u") < F.col("v"))
+        counted = _common_items(rows, rows, F.col("u") < F.col("v"))
+        if rule.overlap is not None and not with_sizes:
+            return counted.where(F.col("overlap") >= rule.overlap).select(F.col("u").alias("src"), F.col("v").alias("dst"), "overlap")
+        return _sized(counted, sizes, rule)
     return _prefix(scratch, rows, degrees, sizes, rule, popular, row_items)
 
 
-def _expand(left: DataFrame, right: DataFrame, left_sizes: DataFrame, right_sizes: DataFrame, rule: Rule, keep: Column) -> DataFrame:
-    """Count common items of all pairs of a left and a right user that share one."""
-    counted = (
-        left.select("item", F.col("user").alias("u"))
-        .join(right.select("item", F.col("user").alias("v")), "item")
-        .where(keep)
-        .groupBy("u", "v")
-        .agg(F.count("*").alias("overlap"))
-    )
+def _common_items(left: DataFrame, right: DataFrame, keep: Column) -> DataFrame:
+    """(u, v, overlap): common items of all pairs of a left and a right user that share one."""
+    named = [rows.withColumnRenamed("user", name) for rows, name in ((left, "u"), (right, "v"))]
+    return named[0].join(named[1], "item").where(keep).groupBy("u", "v").agg(F.count("*").alias("overlap"))
+
+
+def _sized(counted: DataFrame, sizes: DataFrame, rule: Rule) -> DataFrame:
+    """Counted pairs that pass the rule, with the sizes of both sets."""
     if rule.overlap is not None:
         counted = counted.where(F.col("overlap") >= rule.overlap)
-    sized = counted.join(left_sizes.select(F.col("user").alias("u"), F.col("size").alias("n")), "u").join(
-        right_sizes.select(F.col("user").alias("v"), F.col("size").alias("m")), "v"
+    sized = counted.join(sizes.select(F.col("user").alias("u"), F.col("size").alias("n")), "u").join(
+        sizes.select(F.col("user").alias("v"), F.col("size").alias("m")), "v"
     )
     return _oriented(sized.where(rule.passes(F.col("overlap"), F.col("n"), F.col("m"))))
 
@@ -228,7 +234,7 @@ def _to_users(pairs: DataFrame, sets: DataFrame, unique: DataFrame, rule: Rule)
 
 def _large_pairs(rows: DataFrame, sizes: DataFrame, large: DataFrame, rule: Rule) -> DataFrame:
     """Pairs with at least one user whose items do not fit a row, counted item by item."""
-    big = rows.join(large.select("user"), "user", "left_semi")
+    big = rows.join(large.select("user"), "user", "left_semi").select("user", "item")
     least = rule.overlap if rule.overlap is not None else 1
     if rule.jaccard is not None:
         floor = large.agg(F.min("size")).scalar()
@@ -237,17 +243,8 @@ def _large_pairs(rows: DataFrame, sizes: DataFrame, large: DataFrame, rule: Rule
         fit = sizes.where(F.col("size") >= least)
     marked = fit.join(large.select("user", F.lit(True).alias("is_large")), "user", "left")
     others = rows.join(marked, "user").select("user", "item", F.coalesce("is_large", F.lit(False)).alias("is_large"))
-    counted = (
-        big.select("item", F.col("user").alias("u"))
-        .join(others.select("item", F.col("user").alias("v"), "is_large"), "item")
-        .where((F.col("u") != F.col("v")) & (~F.col("is_large") | (F.col("u") < F.col("v"))))
-        .groupBy("u", "v")
-        .agg(F.count("*").alias("overlap"))
-    )
-    sized = counted.join(sizes.select(F.col("user").alias("u"), F.col("size").alias("n")), "u").join(
-        sizes.select(F.col("user").alias("v"), F.col("size").alias("m")), "v"
-    )
-    return _oriented(sized.where(rule.passes(F.col("overlap"), F.col("n"), F.col("m"))))
+    keep = (F.col("u") != F.col("v")) & (~F.col("is_large") | (F.col("u") < F.col("v")))
+    return _sized(_common_items(big, others, keep), sizes, rule)
 
 
 def jaccard_of(overlap: Column, n: Column, m: Column) -> Column:

@@ -202,6 +202,5 @@ def frontier_expansion(spark, folder):
 
 @query("GR8 GR7")
 def girvan_newman(spark, folder):
-    """Three rounds of the divisive search over the similarity graph."""
     edges = similar(spark, folder)
-    return communities.girvan_newman(graphs.endpoints(edges), edges, max_rounds=3)
+    return communities.girvan_newman(graphs.endpoints(edges), edges)
