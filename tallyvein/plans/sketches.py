@@ -159,15 +159,14 @@ def stream_window_estimates(spark, folder):
     """Events arrive in three slices and one late row that closes the last windows."""
     scratch = Scratch(spark, "window-stream")
     events = table(spark, folder, "events").select("event_id", "ts", "user_id")
-    _in_slices(events, "ts", scratch, "in", SLICES)
     last = events.agg(
         F.max("event_id").alias("event_id"), (F.max("ts") + F.expr("INTERVAL 30 DAYS")).alias("ts"), F.max("user_id").alias("user_id")
     )
-    last.write.parquet(scratch.path("in/slice=9"))
+    _in_slices(events.unionByName(last), "ts", scratch, "in", SLICES)
     stream = table_stream(spark, scratch.path("in"), events.schema, 1)
     start_window_estimates(
         stream, "ts", "user_id", scratch.path("out"), scratch.path("checkpoint"), "1 day", "6 hours", "1 hour",
-        HASHES, GROUPS, HASH_BITS, trigger={"availableNow": True},
+        HASHES, GROUPS, HASH_BITS, trigger={"availableNow": True}, state_partitions=spark.sparkContext.defaultParallelism,
     ).awaitTermination()
     written = spark.read.schema(", ".join(f"`{c}` bigint" for c in sinks.WINDOW_HEADER)).csv(scratch.path("out"), header=True)
     # The folder read adds its batch number as a column.

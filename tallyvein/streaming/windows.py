@@ -43,11 +43,13 @@ def start_window_estimates(
     limit: float = 0.25,
     keep_all: bool = True,
     trigger: dict | None = None,
+    state_partitions: int | None = None,
 ) -> StreamingQuery:
     """Write Time, Ground Truth and Estimation of every closed window, one CSV folder per micro-batch.
 
     Windows outside the error limit are written too unless ``keep_all`` is off. Time is the end of the
-    window as epoch seconds.
+    window as epoch seconds. The number of state partitions is fixed for the life of a checkpoint; it is
+    the session's number of shuffle partitions unless given.
     """
     sketches = window_sketches(events, ts, col, window, slide, lateness, k, bits, seed)
 
@@ -57,10 +59,19 @@ def start_window_estimates(
         checked = with_error_gate(found, limit)
         write_window_estimates(checked if keep_all else checked.where("within_limit"), out, batch_id)
 
-    return (
+    writer = (
         sketches.writeStream.outputMode("append")
         .option("checkpointLocation", checkpoint)
         .trigger(**(trigger or {"processingTime": "5 seconds"}))
         .foreachBatch(write)
-        .start()
     )
+    if state_partitions is None:
+        return writer.start()
+    # A query takes the settings of its session when it starts.
+    conf = events.sparkSession.conf
+    usual = conf.get("spark.sql.shuffle.partitions")
+    conf.set("spark.sql.shuffle.partitions", str(state_partitions))
+    try:
+        return writer.start()
+    finally:
+        conf.set("spark.sql.shuffle.partitions", usual)
