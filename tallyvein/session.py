@@ -78,8 +78,8 @@ class Scratch:
     def read(self, name: str, schema) -> DataFrame:
         return self.spark.read.schema(schema).parquet(self.path(name))
 
-    def drop(self, name: str) -> None:
-        """Remove a table that no live DataFrame reads any more."""
+    def drop(self, name: str | None = None) -> None:
+        """Remove a table, or all of them, once no live DataFrame reads it any more."""
         jvm = self.spark._jvm
-        path = jvm.org.apache.hadoop.fs.Path(self.path(name))
+        path = jvm.org.apache.hadoop.fs.Path(self.path(name) if name else self.base)
         path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
