@@ -4,13 +4,23 @@ from __future__ import annotations
 
 from fractions import Fraction
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from tallyvein.llm.bpe import token_digests
 from tallyvein.llm.ngram_join import ngram_components
 from tallyvein.llm.registry import QUERIES, SQL, query  # noqa: F401
 from tallyvein.sources.readers import table
 
+#: Fixed by the query's contract.
+WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
+
 
 @query()
 def op1_ngram_join(spark: SparkSession, folder: str) -> DataFrame:
     return ngram_components(table(spark, folder, "documents"), "doc_id", "text", 3, Fraction(9, 10))
+
+
+@query()
+def op2_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    return token_digests(table(spark, folder, "documents"), WORD_BPE)
