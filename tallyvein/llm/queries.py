@@ -6,10 +6,13 @@ from fractions import Fraction
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tallyvein.llm.bpe import token_digests
+from tallyvein.llm.decontamination import leaks
 from tallyvein.llm.ngram_join import ngram_components
 from tallyvein.llm.registry import QUERIES, SQL, query  # noqa: F401
+from tallyvein.llm.secrets import secret_report
 from tallyvein.sources.readers import table
 
 #: Fixed by the query's contract.
@@ -24,3 +27,15 @@ def op1_ngram_join(spark: SparkSession, folder: str) -> DataFrame:
 @query()
 def op2_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return token_digests(table(spark, folder, "documents"), WORD_BPE)
+
+
+@query()
+def op9_secret_scans(spark: SparkSession, folder: str) -> DataFrame:
+    """A document is a repository here, its source the owner."""
+    return secret_report(table(spark, folder, "documents"), "doc_id", "text", F.col("doc_id"), F.col("source"))
+
+
+@query()
+def op10_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    """Leaking documents only, with the items and stretches."""
+    return leaks(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
