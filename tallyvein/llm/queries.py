@@ -5,12 +5,14 @@ from __future__ import annotations
 from fractions import Fraction
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyvein.llm.bpe import token_digests
 from tallyvein.llm.decontamination import leaks
+from tallyvein.llm.language import fit_languages, identify
 from tallyvein.llm.ngram_join import ngram_components
+from tallyvein.llm.quality import ACCEPT, Model, fit_quality, quality_scores
 from tallyvein.llm.registry import QUERIES, SQL, query  # noqa: F401
 from tallyvein.llm.secrets import secret_report
 from tallyvein.sources.readers import table
@@ -39,3 +41,26 @@ def op9_secret_scans(spark: SparkSession, folder: str) -> DataFrame:
 def op10_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     """Leaking documents only, with the items and stretches."""
     return leaks(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+def part(parts: int) -> Column:
+    """The remainder that decides about held-out documents."""
+    return F.crc32(F.col("doc_id").cast("string")) % parts
+
+
+def quality_model(spark: SparkSession, docs: DataFrame, folder: str) -> Model:
+    return fit_quality(docs, table(spark, folder, "labels"), learn=part(5) != 0)
+
+
+@query()
+def op3_quality(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    scored = quality_scores(docs, quality_model(spark, docs, folder))
+    return scored.select("doc_id", (part(5) == 0).alias("held_out"), "score", (F.col("score") >= ACCEPT).cast("int").alias("predicted"))
+
+
+@query()
+def op4_language(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    named = identify(docs, fit_languages(docs, learn=part(4) != 2))
+    return named.select("doc_id", (part(4) == 2).alias("held_out"), "lang_pred", "score")

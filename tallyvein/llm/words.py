@@ -12,6 +12,7 @@ import numpy as np
 import pyarrow as pa
 
 SLICE_BYTES = 1 << 20
+SLICE_TEXTS = 1024
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
@@ -40,7 +41,7 @@ def text_slices(column: pa.Array, most: int = SLICE_BYTES) -> Iterator[tuple[int
     first = 0
     while first < len(column):
         last = int(np.searchsorted(offsets, offsets[first] + most, "right")) - 1
-        last = min(max(last, first + 1), len(column))
+        last = min(max(last, first + 1), first + SLICE_TEXTS, len(column))
         yield first, data[offsets[first] : offsets[last]], offsets[first : last + 1] - offsets[first]
         first = last
 
