@@ -10,7 +10,9 @@ from pyspark.sql import functions as F
 
 from tallyvein.llm.bpe import token_digests
 from tallyvein.llm.decontamination import leaks
+from tallyvein.llm.html import extract_main
 from tallyvein.llm.language import fit_languages, identify
+from tallyvein.llm.licenses import LICENSE_SQL, license_report
 from tallyvein.llm.ngram_join import ngram_components
 from tallyvein.llm.quality import ACCEPT, Model, fit_quality, quality_scores
 from tallyvein.llm.registry import QUERIES, SQL, query  # noqa: F401
@@ -64,3 +66,14 @@ def op4_language(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
     named = identify(docs, fit_languages(docs, learn=part(4) != 2))
     return named.select("doc_id", (part(4) == 2).alias("held_out"), "lang_pred", "score")
+
+
+@query(LICENSE_SQL)
+def op5_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    return license_report(table(spark, folder, "documents"))
+
+
+@query()
+def op6_html_extraction(spark: SparkSession, folder: str) -> DataFrame:
+    found = extract_main(table(spark, folder, "pages"), "page_id", "html", ("url",))
+    return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
