@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tallyvein.llm.bpe import token_digests
 from tallyvein.llm.decontamination import leaks
+from tallyvein.llm.fingerprints import edited_fingerprints
 from tallyvein.llm.html import extract_main
 from tallyvein.llm.language import fit_languages, identify
 from tallyvein.llm.licenses import LICENSE_SQL, license_report
@@ -77,3 +78,8 @@ def op5_license_scan(spark: SparkSession, folder: str) -> DataFrame:
 def op6_html_extraction(spark: SparkSession, folder: str) -> DataFrame:
     found = extract_main(table(spark, folder, "pages"), "page_id", "html", ("url",))
     return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
+@query()
+def op8_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
+    return edited_fingerprints(table(spark, folder, "documents"))
