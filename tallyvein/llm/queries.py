@@ -18,6 +18,7 @@ from tallyvein.llm.ngram_join import ngram_components
 from tallyvein.llm.quality import ACCEPT, Model, fit_quality, quality_scores
 from tallyvein.llm.registry import QUERIES, SQL, query  # noqa: F401
 from tallyvein.llm.secrets import secret_report
+from tallyvein.llm.suffix_dedup import repeated_strings
 from tallyvein.sources.readers import table
 
 #: Fixed by the query's contract.
@@ -83,3 +84,9 @@ def op6_html_extraction(spark: SparkSession, folder: str) -> DataFrame:
 @query()
 def op8_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
     return edited_fingerprints(table(spark, folder, "documents"))
+
+
+@query()
+def op7_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    found = repeated_strings(table(spark, folder, "documents"))
+    return found.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), "kept_sha256")
