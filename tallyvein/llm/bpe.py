@@ -19,6 +19,7 @@ import unicodedata
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
@@ -319,6 +320,29 @@ def decode_tokens(docs: DataFrame, path: str, ids_col: str = "token_ids", text_c
     return docs.withColumn(text_col, decoded(F.col(ids_col)))
 
 
+def tokenized(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(id_col, n_tokens, token_ids, decoded_sha256) of every row, encoded and decoded again in one pass; null texts count as empty."""
+    columns = docs.select(F.col(id_col), F.col(text_col).cast("string").alias("_text"))
+    kind = columns.schema[0].dataType.simpleString()
+
+    def run(batches):
+        t = tokenizer(path)
+        for batch in batches:
+            packed = [t.packed(text.as_py() or "") for text in batch.column(1)]
+            sizes = np.array([len(ids) // 4 for ids, _ in packed], np.int64)
+            ids = np.frombuffer(b"".join([ids for ids, _ in packed]), np.int32)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column(0), pa.array(sizes),
+                    pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(sizes))), pa.int32()), pa.array(ids)),
+                    pa.array([hashlib.sha256(decoded).hexdigest() for _, decoded in packed], pa.string()),
+                ],
+                [id_col, "n_tokens", "token_ids", "decoded_sha256"],
+            )
+
+    return columns.mapInArrow(run, f"`{id_col}` {kind}, n_tokens long, token_ids array<int>, decoded_sha256 string")
+
+
 def token_digests(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id_col, n_tokens, ids_sha256, decoded_sha256) of each whole text, encoded and decoded again in one pass.
 

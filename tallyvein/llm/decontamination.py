@@ -13,11 +13,14 @@ most ``BLOCK_WORDS`` words, one pass over the documents for each block, however
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from tallyvein.llm.words import _LOWER, mix, prefix_hashes, span_hashes, text_slices, window_hashes, word_spans
 
@@ -107,24 +110,25 @@ class Index:
         return out
 
 
-def _find(shared, kind: pa.DataType, item_kind: pa.DataType):
+def _stretches(index: Index, column: pa.Array) -> list[tuple[int, int, int, int, int]]:
+    """(row, item, first word, words, equal words) of a column of texts."""
+    rows = set()
+    for first, data, offsets in text_slices(column):
+        words, bounds = _words(data, offsets)
+        # Candidates of a slice at once; they are verified within each text they touch.
+        for item, shift in index.candidates(words):
+            low, high = np.searchsorted(bounds, [max(shift, 0), shift + len(index.words[item]) - 1], "right") - 1
+            for t in range(low, min(high, len(bounds) - 2) + 1):
+                text = words[bounds[t] : bounds[t + 1]]
+                rows.update((first + t, item, *found) for found in index.verify(text, item, shift - int(bounds[t])))
+    return sorted(rows)
+
+
+def _find(shared: Broadcast, item_kind: pa.DataType):
     def run(batches):
         index = shared.value
         for batch in batches:
-            rows: list[tuple] = []
-            for first, data, offsets in text_slices(batch.column(1)):
-                words, bounds = _words(data, offsets)
-                # Candidates of a slice at once; what crosses a text's border finds no equal words there.
-                seen = set()
-                for item, shift in index.candidates(words):
-                    span = bounds.searchsorted([max(shift, 0), shift + len(index.words[item]) - 1], "right") - 1
-                    for t in range(span[0], min(span[1], len(bounds) - 2) + 1):
-                        seen.add((t, item, shift - int(bounds[t])))
-                for t, item, shift in seen:
-                    text = words[bounds[t] : bounds[t + 1]]
-                    rows += [(first + t, item, *found) for found in index.verify(text, item, shift)]
-            rows = sorted(set(rows))
-            columns = list(zip(*rows)) if rows else [()] * 5
+            columns = list(zip(*_stretches(index, batch.column(1)))) or [()] * 5
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0).take(pa.array(columns[0], pa.int64())),
@@ -137,6 +141,29 @@ def _find(shared, kind: pa.DataType, item_kind: pa.DataType):
     return run
 
 
+def _clean(shared: Broadcast, at: int):
+    def run(batches):
+        for batch in batches:
+            keep = np.ones(len(batch), bool)
+            keep[[row for row, *_ in _stretches(shared.value, batch.column(at))]] = False
+            yield batch.filter(pa.array(keep))
+
+    return run
+
+
+def _indexes(items: DataFrame, item_col: str, item_text_col: str, block_words: int) -> Iterator[Broadcast]:
+    """The index of every block of items, sent to the tasks; a block has about ``block_words`` words at most."""
+    queries = items.select(F.col(item_col).alias("item"), F.coalesce(F.col(item_text_col).cast("string"), F.lit("")).alias("text"))
+    # A word and what ends it take two bytes at least.
+    total = queries.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    blocks = math.ceil(total / block_words)
+    for block in range(blocks):
+        part = queries.where(F.pmod(F.xxhash64("item", "text"), F.lit(blocks)) == block) if blocks > 1 else queries
+        rows = [(r.item, r.text) for r in part.collect()]
+        if rows:
+            yield items.sparkSession.sparkContext.broadcast(Index(rows))
+
+
 def leaks(
     docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text",
     block_words: int = BLOCK_WORDS,
@@ -148,23 +175,20 @@ def leaks(
     or item gives its rows again, stretches of one row are reported once. Other columns are not looked
     at, so names may clash. Empty tables give an empty result.
     """
-    spark = docs.sparkSession
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
-    queries = items.select(F.col(item_col).alias("item"), F.coalesce(F.col(item_text_col).cast("string"), F.lit("")).alias("text"))
-    kinds = dict(texts.dtypes)["id"], dict(queries.dtypes)["item"]
-    schema = f"id {kinds[0]}, item {kinds[1]}, first_word long, n_words long, n_equal long"
-    from pyspark.sql.pandas.types import to_arrow_type
-
-    arrow = [to_arrow_type(f.dataType) for f in (texts.schema["id"], queries.schema["item"])]
-    found = spark.createDataFrame([], schema)
-    # Half the bytes bound the words.
-    weight = F.ceil(F.octet_length("text") / 2)
-    total = queries.agg(F.sum(weight)).first()[0] or 0
-    blocks = max(1, math.ceil(2 * total / block_words))
-    for block in range(blocks):
-        part = queries.where(F.pmod(F.xxhash64("item", "text"), F.lit(blocks)) == block) if blocks > 1 else queries
-        rows = [(r.item, r.text) for r in part.collect()]
-        if rows:
-            shared = spark.sparkContext.broadcast(Index(rows))
-            found = found.unionByName(texts.mapInArrow(_find(shared, *arrow), schema))
+    item_kind = items.schema[item_col].dataType
+    schema = f"id {texts.schema['id'].dataType.simpleString()}, item {item_kind.simpleString()}, first_word long, n_words long, n_equal long"
+    found = docs.sparkSession.createDataFrame([], schema)
+    for shared in _indexes(items, item_col, item_text_col, block_words):
+        found = found.unionByName(texts.mapInArrow(_find(shared, to_arrow_type(item_kind)), schema))
     return found.withColumnsRenamed({"id": id_col, "item": item_col})
+
+
+def without_leaks(
+    docs: DataFrame, items: DataFrame, text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", block_words: int = BLOCK_WORDS
+) -> DataFrame:
+    """The rows of ``docs`` that repeat no item, with all their columns; rows are judged alone and nothing is shuffled."""
+    at = docs.columns.index(text_col)
+    for shared in _indexes(items, item_col, item_text_col, block_words):
+        docs = docs.mapInArrow(_clean(shared, at), docs.schema)
+    return docs
