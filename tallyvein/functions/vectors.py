@@ -51,12 +51,24 @@ def gate(dimensions: int) -> float:
 
 
 def as_matrix(vectors: pa.Array) -> np.ndarray:
-    """A batch of equally long vectors as a (rows, dimensions) matrix."""
+    """A batch of equally long vectors of numbers as a (rows, dimensions) matrix.
+
+    A null vector, a null or NaN entry, and vectors of different lengths are errors: distances to them
+    have no meaning, and leaving them out here would shift the rows after them.
+    """
     if isinstance(vectors, pa.ChunkedArray):
         vectors = vectors.combine_chunks()
     rows = len(vectors)
-    flat = vectors.flatten().to_numpy(zero_copy_only=False).astype(np.float64, copy=False)
-    return flat.reshape(rows, -1) if rows else flat.reshape(0, 0)
+    if not rows:
+        return np.zeros((0, 0))
+    flat = vectors.flatten()
+    lengths = vectors.value_lengths()
+    if vectors.null_count or flat.null_count or len(lengths.unique()) > 1:
+        raise ValueError("vectors must be complete and equally long")
+    flat = flat.to_numpy(zero_copy_only=False).astype(np.float64, copy=False)
+    if np.isnan(flat).any():
+        raise ValueError("vectors must hold numbers only")
+    return flat.reshape(rows, -1)
 
 
 def as_vectors(matrix: np.ndarray) -> pa.Array:

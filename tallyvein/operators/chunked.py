@@ -82,8 +82,8 @@ class ChunkState:
         return cls(**body)
 
 
-def save_state(spark: SparkSession, state: ChunkState) -> None:
-    spark.createDataFrame([(state.to_json(),)], "value string").write.mode("overwrite").text(state.table("state"))
+def save_state(spark: SparkSession, state: ChunkState, name: str = "state") -> None:
+    spark.createDataFrame([(state.to_json(),)], "value string").write.mode("overwrite").text(state.table(name))
 
 
 def load_state(spark: SparkSession, folder: str, round_no: int) -> ChunkState:
@@ -181,23 +181,30 @@ def _keep_retained(retained: DataFrame, state: ChunkState) -> None:
     state.retained = retained.sparkSession.read.parquet(path).count()
 
 
-def _end_round(spark: SparkSession, state: ChunkState) -> ChunkState:
+def _end_round(spark: SparkSession, state: ChunkState, name: str = "state") -> ChunkState:
     state.stats.append(
         [state.round, len(state.ds), sum(s.n for s in state.ds), len(state.cs), sum(s.n for s in state.cs), state.retained]
     )
-    save_state(spark, state)
+    save_state(spark, state, name)
     return state
 
 
-def start_chunks(chunk: DataFrame, k: int, folder: str, seed: int = 28, max_iter: int = 50) -> ChunkState:
-    """Round 1: k clusters of a small sample become DS, 3k clusters of the rest become CS and RS."""
+def start_chunks(chunk: DataFrame, k: int, folder: str, seed: int = 28, max_iter: int = 50, sample: int = 40) -> ChunkState:
+    """Round 1: k clusters of a small sample become DS, 3k clusters of the rest become CS and RS.
+
+    The sample has at most ``sample`` points and a fifth of the chunk, but k at least; a first chunk
+    with fewer than k points is an error.
+    """
     spark = chunk.sparkSession
     state = ChunkState(folder=folder, k=k, round=1)
     chunk = chunk.select("point_id", "features")
     sample_path, rest_path = state.table("sample"), state.table("rest")
-    fixed_sample(chunk, "point_id", sample_size(chunk.count()), seed).write.mode("overwrite").parquet(sample_path)
+    rows = chunk.count()
+    if rows < k:
+        raise ValueError(f"the first chunk has {rows} points for {k} clusters")
+    fixed_sample(chunk, "point_id", max(k, sample_size(rows, sample)), seed).write.mode("overwrite").parquet(sample_path)
     sample = spark.read.schema(chunk.schema).parquet(sample_path)
-    # The sample has at most 40 rows, so its ids are broadcast.
+    # The sample has at most max(k, sample) rows, so its ids are broadcast.
     rest = chunk.join(F.broadcast(sample.select("point_id")), "point_id", "left_anti")
 
     labelled, found = _cluster_into(sample, k, state, state.table("sample-labels"), max_iter)
@@ -244,10 +251,13 @@ def absorb_chunk(chunk: DataFrame, before: ChunkState, max_iter: int = 50) -> Ch
 
 
 def finish_chunks(spark: SparkSession, before: ChunkState) -> ChunkState:
-    """After the last chunk: merge CS into DS and count the last round anew."""
+    """After the last chunk: merge CS into DS and count the last round anew.
+
+    The result is written beside the rounds, whose state stays as it was: more chunks can follow.
+    """
     state = replace(before, ds=list(before.ds), merged=dict(before.merged), stats=[list(s) for s in before.stats[:-1]])
     _merge_into_ds(state)
-    return _end_round(spark, state)
+    return _end_round(spark, state, "finished")
 
 
 def _merge_within(state: ChunkState) -> None:
@@ -307,10 +317,16 @@ def chunk_labels(spark: SparkSession, state: ChunkState, id_type: str = "bigint"
     return settled.unionByName(alone)
 
 
-def cluster_chunks(points: DataFrame, k: int, folder: str, seed: int = 28, max_iter: int = 50) -> ChunkState:
-    """All rounds over (point_id, features, chunk), in chunk order."""
+def cluster_chunks(points: DataFrame, k: int, folder: str, seed: int = 28, max_iter: int = 50, sample: int = 40) -> ChunkState:
+    """All rounds over (point_id, features, chunk), in chunk order.
+
+    The points are written once, apart by chunk, so that every round reads its own chunk only.
+    """
+    kinds = points.select("chunk", "point_id", "features").schema
+    points.select("chunk", "point_id", "features").write.mode("overwrite").partitionBy("chunk").parquet(f"{folder}/points")
+    points = points.sparkSession.read.schema(kinds).parquet(f"{folder}/points")
     chunks = [r["chunk"] for r in points.select("chunk").distinct().orderBy("chunk").collect()]  # one row per file
-    state = start_chunks(points.where(F.col("chunk") == F.lit(chunks[0])), k, folder, seed, max_iter)
+    state = start_chunks(points.where(F.col("chunk") == F.lit(chunks[0])), k, folder, seed, max_iter, sample)
     for chunk in chunks[1:]:
         state = absorb_chunk(points.where(F.col("chunk") == F.lit(chunk)), state, max_iter)
     return finish_chunks(points.sparkSession, state)

@@ -147,7 +147,7 @@ class KMeansResult:
     rounds: int
 
 
-def kmeans(points: DataFrame, k: int, max_iter: int = 120, tol: float = 0.0, start=None) -> KMeansResult:
+def kmeans(points: DataFrame, k: int, max_iter: int = 120, tol: float = 1e-9, start=None) -> KMeansResult:
     """Lloyd rounds from farthest-first seeds until the centres move no more than ``tol``.
 
     The points are persisted for the loop, as each of its passes reads them all.

@@ -14,8 +14,11 @@ from tallyvein.streaming.rounds import start_cluster_stream
 from tallyvein.streaming.sources import table_stream
 
 SEEDS = 5
-ROUNDS = 5
+#: Rounds that the SQL spells out; the points settle before.
+ROUNDS = 30
 DIMS = 64
+#: Files of a slice of the stream.
+FILES = 4
 
 _P = "p AS MATERIALIZED (SELECT vec_id AS id, CAST(embedding AS DOUBLE[]) AS f, label FROM embeddings)"
 
@@ -140,7 +143,7 @@ def centroid_shift(spark, folder):
 @query("CL2 SNK4", f"""WITH {_seed_ctes(SEEDS)}, {_round_ctes(ROUNDS)}
     SELECT id AS point_id, cluster_id, round(distance, 6) AS distance FROM ({_assigned(f'k{ROUNDS}')})""")
 def kmeans(spark, folder):
-    found = clustering.kmeans(_points(spark, folder), SEEDS, max_iter=ROUNDS)
+    found = clustering.kmeans(_points(spark, folder), SEEDS)
     return found.labels.select("point_id", "cluster_id", r6(F.col("distance")).alias("distance"))
 
 
@@ -204,7 +207,7 @@ def mahalanobis_distance(spark, folder):
 
 def _chunked_events(spark, folder):
     points = event_points(spark, folder).withColumnRenamed("event_type", "chunk")
-    return chunked.cluster_chunks(points, 5, Scratch(spark, "chunks").base, max_iter=10)
+    return chunked.cluster_chunks(points, 5, Scratch(spark, "chunks").base)
 
 
 @query("CL4 CL5 CL6 CL7 AGG16 SNK5")
@@ -221,12 +224,13 @@ def bfr_labels(spark, folder):
 def stream_rounds(spark, folder):
     scratch = Scratch(spark, "cluster-stream")
     points = _points(spark, folder)
-    # The points arrive in three files, one micro-batch each.
-    for i, part in enumerate(points.randomSplit([1.0, 1.0, 1.0], seed=28)):
-        part.coalesce(1).write.parquet(scratch.path(f"in/part={i}"))
-    stream = table_stream(spark, scratch.path("in"), points.schema, 1)
+    # The points arrive in three slices by a hash of their id, one micro-batch each.
+    for i in range(3):
+        part = points.where(F.pmod(F.xxhash64("point_id"), F.lit(3)) == i)
+        part.repartition(FILES).write.parquet(scratch.path(f"in/part={i}"))
+    stream = table_stream(spark, scratch.path("in"), points.schema, FILES)
     query = start_cluster_stream(
-        stream, scratch.path("out"), scratch.path("checkpoint"), 4, max_iter=10, trigger={"availableNow": True}
+        stream, scratch.path("out"), scratch.path("checkpoint"), 4, trigger={"availableNow": True}
     )
     query.awaitTermination()
     state = chunked.finish_chunks(spark, chunked.load_state(spark, scratch.path("out"), 3))

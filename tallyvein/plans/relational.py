@@ -12,7 +12,7 @@ from tallyvein.functions.text import epoch_seconds, list_length, quoted_list
 from tallyvein.operators import graphs, ratings
 from tallyvein.operators.distinct import value_zero_runs
 from tallyvein.operators.membership import hash_rows as bloom_hash_rows
-from tallyvein.operators.membership import filter_size, is_member
+from tallyvein.operators.membership import WORD_BITS, filter_size, is_member
 from tallyvein.operators.overlap import Rule, shared_pairs
 from tallyvein.operators.sampling import fixed_sample, sample_size
 from tallyvein.plans import inputs
@@ -37,15 +37,17 @@ def mirror_edges(spark, folder):
 
 
 _HASH_PARAMETERS = hash_parameters(5)
+_FILTER = f"(SELECT CAST(greatest({WORD_BITS}, ceil(count(DISTINCT c_name) * 5 / ln(2))) AS BIGINT) FROM customer)"
 _HASH_ROWS = " UNION ALL ".join(
-    f"SELECT c_name, {i} AS hash_no, ({key_sql('c_name', i)} * {a} + {b}) % {PRIME} % {filter_size(94296, 5)} AS position FROM customer"
+    f"SELECT c_name, {i} AS hash_no, ({key_sql('c_name', i)} * {a} + {b}) % {PRIME} % {_FILTER} AS position FROM customer"
     for i, (a, b) in enumerate(_HASH_PARAMETERS)
 )
 
 
 @query("PRJ3 H2 RN1", _HASH_ROWS)
 def hash_rows(spark, folder):
-    return bloom_hash_rows(table(spark, folder, "customer"), "c_name", filter_size(94296, 5), _HASH_PARAMETERS)
+    names = table(spark, folder, "customer")
+    return bloom_hash_rows(names, "c_name", filter_size(names.select("c_name").distinct().count(), 5), _HASH_PARAMETERS)
 
 
 @query("H1", f"SELECT c_name, {key_sql('c_name', 0)} AS key0, {key_sql('c_name', 1)} AS key1, {key_sql('c_name', 2)} AS key2 FROM customer")

@@ -14,7 +14,7 @@ from tallyvein.session import Scratch
 from tallyvein.sources import sinks
 from tallyvein.sources.readers import table
 from tallyvein.streaming.reservoir import reports, start_trending
-from tallyvein.streaming.sources import table_stream
+from tallyvein.streaming.sources import json_stream, table_stream
 from tallyvein.streaming.windows import start_window_estimates
 
 K = 5
@@ -80,7 +80,7 @@ def flag_lines(spark, folder):
     return sinks.flag_lines(_probed(spark, folder), "c_custkey", "maybe_present")
 
 
-HASHES, HASH_BITS, GROUPS = 100, 10, 3
+HASHES, HASH_BITS, GROUPS = 100, distinct.HASH_BITS, 3
 DAY, PANE = 86_400, 21_600
 
 
@@ -94,8 +94,13 @@ def _tops(values: str, by: str, bits: int = HASH_BITS) -> str:
 
 def _estimates(tops: str, by: str) -> str:
     width = HASHES // GROUPS
-    return f"""SELECT {by}, CAST(floor(median(m)) AS BIGINT) AS estimate FROM
-        (SELECT {by}, least(hash_no // {width}, {GROUPS - 1}) AS g, avg(greatest(top, 1)) AS m FROM ({tops}) GROUP BY ALL) GROUP BY ALL"""
+    return f"""SELECT {by}, CAST(round(pow(2, median(m) - {distinct.RUN_BIAS})) AS BIGINT) AS estimate FROM
+        (SELECT {by}, least(hash_no // {width}, {GROUPS - 1}) AS g, avg(log2(greatest(top, 1))) AS m FROM ({tops}) GROUP BY ALL) GROUP BY ALL"""
+
+
+def _checked(truth: str, estimates: str, by: str) -> str:
+    return f"""SELECT {by}, truth, estimate, round(abs(truth - estimate) / estimate, 6) AS relative_error,
+        abs(truth - estimate) / estimate <= 0.25 AS within_limit FROM ({truth}) JOIN ({estimates}) USING ({by})"""
 
 
 @query("AGG12", f"SELECT hash_no, CAST(log2(greatest(top, 1)) AS INTEGER) AS zeros FROM ({_tops('(SELECT DISTINCT user_id AS v, 0 AS one FROM events)', 'one', 20)})")
@@ -103,15 +108,20 @@ def max_trailing_zeros(spark, folder):
     return distinct.max_trailing_zeros(table(spark, folder, "events"), "user_id", HASHES, 20)
 
 
-@query("SK4 AGG13", _estimates(_tops("(SELECT DISTINCT event_type, user_id AS v FROM events)", "event_type"), "event_type"))
+@query("SK4 AGG13", _checked("SELECT event_type, count(DISTINCT user_id) AS truth FROM events GROUP BY 1",
+    _estimates(_tops("(SELECT DISTINCT event_type, user_id AS v FROM events)", "event_type"), "event_type"), "event_type"))
 def fm_distinct(spark, folder):
-    return distinct.fm_distinct(table(spark, folder, "events"), "user_id", ["event_type"], HASHES, GROUPS, HASH_BITS)
+    found = distinct.fm_distinct_checked(table(spark, folder, "events"), "user_id", "event_type", HASHES, GROUPS, HASH_BITS)
+    return found.withColumn("relative_error", r6(F.col("relative_error")))
 
 
-@query("SK4", _estimates(_tops("(SELECT DISTINCT l_orderkey AS v, 0 AS one FROM lineitem)", "one", 31), "one").replace("SELECT one,", "SELECT", 1))
+@query("SK4", _checked("SELECT 0 AS one, count(DISTINCT l_orderkey) AS truth FROM lineitem",
+    _estimates(_tops("(SELECT DISTINCT l_orderkey AS v, 0 AS one FROM lineitem)", "one"), "one"), "one").replace("SELECT one,", "SELECT", 1))
 def fm_distinct_orders(spark, folder):
-    """One count over the largest table, with hashes long enough for it."""
-    return distinct.fm_distinct(table(spark, folder, "lineitem"), "l_orderkey", None, HASHES, GROUPS, 31)
+    """One count over the largest table."""
+    lines = table(spark, folder, "lineitem").select("l_orderkey", F.lit(0).alias("one"))
+    found = distinct.fm_distinct_checked(lines, "l_orderkey", "one", HASHES, GROUPS, HASH_BITS)
+    return found.drop("one").withColumn("relative_error", r6(F.col("relative_error")))
 
 
 @query("SK5")
@@ -138,15 +148,28 @@ def fm_distinct_by_window(spark, folder):
     return found.withColumn("relative_error", r6(F.col("relative_error")))
 
 
-def _in_slices(df, ts, scratch, name, slices):
-    """Write rows as files that a stream reads one after the other, in time order."""
+@query("FLT4", f"""SELECT window_start, truth, estimate FROM ({_WINDOW_TRUTH}) JOIN ({_WINDOW_ESTIMATES}) USING (window_start)
+    WHERE abs(truth - estimate) / estimate <= 0.25""")
+def fm_windows_within_limit(spark, folder):
+    """Only the windows that pass the error gate."""
+    events = table(spark, folder, "events")
+    found = distinct.fm_distinct_by_window(events, "ts", "user_id", DAY, PANE, HASHES, GROUPS, HASH_BITS, keep_all=False)
+    return found.select("window_start", "truth", "estimate")
+
+
+#: Files of a slice, all read by one micro-batch.
+FILES = 4
+
+
+def _in_slices(df, ts, scratch, name, slices, form="parquet"):
+    """Write rows as slices that a stream reads one after the other, in time order."""
     for i, (start, stop) in enumerate(zip(slices, slices[1:])):
         part = df
         if start is not None:
             part = part.where(F.col(ts) >= F.lit(start).cast("timestamp_ntz"))
         if stop is not None:
             part = part.where(F.col(ts) < F.lit(stop).cast("timestamp_ntz"))
-        part.coalesce(1).write.parquet(scratch.path(f"{name}/slice={i}"))
+        part.repartition(FILES).write.format(form).save(scratch.path(f"{name}/slice={i}"))
     return scratch.path(name)
 
 
@@ -162,8 +185,8 @@ def stream_window_estimates(spark, folder):
     last = events.agg(
         F.max("event_id").alias("event_id"), (F.max("ts") + F.expr("INTERVAL 30 DAYS")).alias("ts"), F.max("user_id").alias("user_id")
     )
-    _in_slices(events.unionByName(last), "ts", scratch, "in", SLICES)
-    stream = table_stream(spark, scratch.path("in"), events.schema, 1)
+    _in_slices(events.unionByName(last), "ts", scratch, "in", SLICES, "json")
+    stream = json_stream(spark, scratch.path("in"), events.schema, FILES)
     start_window_estimates(
         stream, "ts", "user_id", scratch.path("out"), scratch.path("checkpoint"), "1 day", "6 hours", "1 hour",
         HASHES, GROUPS, HASH_BITS, trigger={"availableNow": True}, state_partitions=spark.sparkContext.defaultParallelism,
@@ -209,6 +232,6 @@ def _slice_sql(batch_id: int, stop: str | None) -> str:
 def stream_trending(spark, folder):
     scratch = Scratch(spark, "trending-stream")
     rows = inputs.messages(spark, folder).withColumnRenamed("event_id", "id")
-    stream = table_stream(spark, _in_slices(rows, "ts", scratch, "in", SLICES), rows.schema, 1).drop("ts")
+    stream = table_stream(spark, _in_slices(rows, "ts", scratch, "in", SLICES), rows.schema, FILES).drop("ts")
     start_trending(stream, scratch.path("out"), scratch.path("checkpoint"), trigger={"availableNow": True}).awaitTermination()
     return reports(spark, scratch.path("out"))

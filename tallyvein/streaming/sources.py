@@ -9,8 +9,8 @@ from pyspark.sql import types as T
 
 
 def json_stream(spark: SparkSession, folder: str, schema: T.StructType | str, files_per_batch: int | None = None) -> DataFrame:
-    """JSON lines that arrive as files in a folder."""
-    reader = spark.readStream.schema(schema)
+    """JSON lines that arrive as files in a folder or below it."""
+    reader = spark.readStream.schema(schema).option("recursiveFileLookup", True)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
     return reader.json(folder)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tallyvein.functions.hashing import lowest_bit
-from tallyvein.operators.distinct import fm_estimate, hash_rows, with_error_gate, with_keys
+from tallyvein.operators.distinct import HASH_BITS, fm_estimate, hash_rows, with_error_gate, with_keys
 from tallyvein.sources.sinks import write_window_estimates
 
 
@@ -38,7 +38,7 @@ def start_window_estimates(
     lateness: str = "5 seconds",
     k: int = 100,
     groups: int = 3,
-    bits: int = 10,
+    bits: int = HASH_BITS,
     seed: int = 28,
     limit: float = 0.25,
     keep_all: bool = True,

@@ -1,6 +1,7 @@
 """k-means and chunk-by-chunk clustering against plain arithmetic and their invariants."""
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -148,3 +149,29 @@ def test_state_survives_json_and_a_repeated_round(spark):
     twice = chunked.absorb_chunk(second, chunked.load_state(spark, folder, 1))
     assert once.stats == twice.stats
     assert chunked.chunk_labels(spark, twice).count() == 150
+
+
+@pytest.mark.parametrize("rows", [[[1.0, 2.0], None], [[1.0], [2.0, 3.0]], [[1.0, None]], [[float("nan"), 1.0]]])
+def test_incomplete_vectors_are_errors(spark, rows):
+    with pytest.raises(ValueError):
+        vectors.as_matrix(pa.array(rows, pa.list_(pa.float64())))
+    points = spark.createDataFrame([(i, r) for i, r in enumerate(rows)], "point_id long, features array<double>").coalesce(1)
+    with pytest.raises(Exception, match="vectors must"):
+        clustering.with_nearest(points, [[0.0, 0.0]]).collect()
+
+
+def test_first_chunk_and_sample_size(spark):
+    points = spark.range(300).select(F.col("id").alias("point_id"), F.array(F.col("id").cast("double"), F.lit(0.0)).alias("features"))
+    folder = Scratch(spark, "sized").base
+    state = chunked.start_chunks(points, 60, folder, sample=100, max_iter=3)
+    assert len(state.ds) == 60
+    with pytest.raises(ValueError, match="first chunk"):
+        chunked.start_chunks(points.limit(4), 5, Scratch(spark, "small").base)
+
+
+def test_finishing_leaves_the_rounds_alone(spark):
+    points = spark.range(200).select(F.col("id").alias("point_id"), F.array(F.col("id").cast("double"), (F.col("id") * 3 % 7).cast("double")).alias("features"))
+    folder = Scratch(spark, "finish").base
+    state = chunked.start_chunks(points, 3, folder)
+    chunked.finish_chunks(spark, state)
+    assert chunked.load_state(spark, folder, 1).to_json() == state.to_json()

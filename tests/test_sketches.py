@@ -60,7 +60,7 @@ def test_sketch_by_hand(spark):
         hashes = [(r[i % 3] * a + b) % 2**bits for r in rows]
         tops.append(max([h & -h for h in hashes if h] or [1]))
     means = [statistics.mean(tops[:3]), statistics.mean(tops[3:6]), statistics.mean(tops[6:])]
-    assert distinct.fm_distinct(df, "v", k=k, bits=bits).first()["estimate"] == int(statistics.median(means))
+    assert distinct.fm_distinct(df, "v", k=k, bits=bits, mean_of="powers").first()["estimate"] == int(statistics.median(means))
 
 
 def test_sketches_ignore_repeats_and_merge(spark):
@@ -163,3 +163,18 @@ def test_group_pieces_lose_nothing(spark):
     sets = group_values(df, "k", "v", unique=True, per_row=100).collect()
     assert sorted((r["k"], v) for r in sets for v in r["members"]) == sorted(set(rows))
     assert max(len(r["members"]) for r in sets) < 200
+
+
+def test_one_value_repeated_is_spread(spark):
+    df = spark.range(20_000).select(F.lit("hot").alias("k"), F.lit(7).alias("v"), "id")
+    lists = group_values(df, "k", "v", per_row=1000).collect()
+    assert sum(len(r["members"]) for r in lists) == 20_000 and max(len(r["members"]) for r in lists) <= 4000 and len(lists) > 9
+    empty = spark.createDataFrame([("a", None), ("a", 1), ("b", None)], "k string, v int")
+    assert {r["k"]: r["members"] for r in group_values(empty, "k", "v").collect()} == {"a": [1], "b": []}
+
+
+@pytest.mark.parametrize("n", [30, 1500, 40_000])
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_estimates_do_not_saturate(spark, n, seed):
+    df = spark.range(n).select(F.concat(F.lit("v"), "id").alias("v"))
+    assert abs(distinct.fm_distinct(df, "v", seed=seed).first()["estimate"] - n) / n < 0.4
