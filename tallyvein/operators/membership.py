@@ -100,12 +100,15 @@ def probe_by_word(df: DataFrame, col: str, bloom: BloomFilter, name: str = "mayb
         .groupBy(col)
         .agg(F.bool_and(F.coalesce(F.col("bits").bitwiseAND(F.col("bit")) != 0, F.lit(False))).alias(name))
     )
+    # Written, so that the join sees real sizes and splits a hot value.
+    hits = Scratch(df.sparkSession, "probed").write(hits, "hits")
     return df.join(hits, col, "left").select(*df.columns, F.coalesce(name, F.lit(False)).alias(name))
 
 
 def is_member(df: DataFrame, members: DataFrame, col: str, name: str = "present") -> DataFrame:
     """Add the exact answer to the same question."""
     known = members.select(col).where(F.col(col).isNotNull()).distinct().withColumn("_known", F.lit(True))
+    known = Scratch(df.sparkSession, "members").write(known, "known")
     return df.join(known, col, "left").select(*df.columns, F.coalesce("_known", F.lit(False)).alias(name))
 
 

@@ -136,13 +136,13 @@ def unsampled_points(spark, folder):
     u AS (SELECT user_id, avg(stars) AS m FROM t GROUP BY 1), i AS (SELECT item_id, avg(stars) AS m FROM t GROUP BY 1)
     SELECT r.user_id, r.item_id, round(coalesce(u.m, (SELECT avg(stars) FROM t)), 6) AS user_mean,
         round(coalesce(i.m, (SELECT avg(stars) FROM t)), 6) AS item_mean
-    FROM r LEFT JOIN u ON u.user_id = r.user_id LEFT JOIN i ON i.item_id = r.item_id WHERE {HELD.replace('user_id', 'r.user_id').replace('item_id', 'r.item_id')}""")
+    FROM r LEFT JOIN u ON u.user_id = r.user_id LEFT JOIN i ON i.item_id = r.item_id""")
 def averages_lookup(spark, folder):
     rows = inputs.ratings(spark, folder)
     held = ratings.holdout(["user_id", "item_id"])
     train = rows.where(~held)
     overall = F.lit(train.agg(F.avg("stars")).first()[0])
-    out = rows.where(held).select("user_id", "item_id")
+    out = rows.select("user_id", "item_id")
     out = ratings.with_lookup(out, ratings.means(train, "user_id", "user_mean"), "user_id", "user_mean", overall)
     out = ratings.with_lookup(out, ratings.means(train, "item_id", "item_mean"), "item_id", "item_mean", overall)
     return out.withColumns({c: r6(F.col(c)) for c in ("user_mean", "item_mean")})
