@@ -5,10 +5,11 @@
    ranges that two sets at the threshold must agree in one of them, and a row per range and set is
    matched by hash (``_keys``). A range holds several tokens, so a passage or a phrase that very many
    texts share does not bring them together.
-3. Around the first set of each match, sets that truly are similar to it form groups. The matrix holds
-   each group's token union, in blocks of bounded size. For a set that shares a match with another
-   group the overlap with the union bounds the overlap with every member, and only groups that
-   qualify are opened and compared member by member.
+3. Sets that share matches form families, and those similar to the head of their family are linked to
+   it. What still shares a match across such groups goes through the matrix: a family is cut into
+   groups of bounded size, each with its token union and one bit per token and set. The overlap of a
+   set with a union bounds its overlap with every member, and only groups that qualify are opened.
+   A task holds one group at a time while sets that ask it stream by.
 4. Links connect; the component is the result.
 
 Nothing is capped: a match of any size is walked as a sorted stream, and all similar pairs end in one
@@ -24,17 +25,18 @@ from fractions import Fraction
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyvein.llm.words import mix, shingle_sets
-from tallyvein.operators.communities import connected_components
 from tallyvein.session import Scratch
 
 #: Share of texts that may fall back to matching by empty ranges; they stay exact, only less selective.
 _RARE = 1e-6
-#: Members of one block of a group in the matrix.
+#: Sets of one group in the matrix, on average.
 BLOCK = 64
+#: Sets that ask a group in one stream, on average.
+STREAM = 512
 
 
 @dataclass(frozen=True)
@@ -72,19 +74,15 @@ class Classes:
             most = self.differences(2 * (high - 1))
             least = math.ceil(low * self.t)
             spare = 1
-            while (ranges := most + 1 + spare) < least and _tail(ranges * (1 - 1 / ranges) ** least, spare) > _RARE:
+            while (ranges := most + 1 + spare) < least // 2 and _emptier(least, ranges, spare) > _RARE:
                 spare += 1
             self.list.append(SizeClass(len(self.list), low, high, ranges, spare))
         return self.list[bisect_right([c.low for c in self.list], n) - 1]
 
 
-def _tail(mean: float, above: int) -> float:
-    """Chance of more than ``above`` events of a Poisson law."""
-    term, below = math.exp(-mean), 0.0
-    for i in range(above + 1):
-        below += term
-        term *= mean / (i + 1)
-    return max(0.0, 1 - below)
+def _emptier(n: int, ranges: int, spare: int) -> float:
+    """Bound of the chance that ``n`` tokens leave more than ``spare`` ranges empty."""
+    return math.comb(ranges, spare + 1) * max(0.0, 1 - (spare + 1) / ranges) ** n
 
 
 def _key(sums: np.ndarray, salt: np.ndarray | int) -> np.ndarray:
@@ -169,7 +167,7 @@ def _matches(batches):
 def _token_sets(width: int):
     def run(batches):
         for batch in batches:
-            sets = [t.view(np.int64) for t in shingle_sets(batch.column(1), width)]
+            sets = [np.sort(t.view(np.int64)) for t in shingle_sets(batch.column(1), width)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.list_(pa.int64()))], ["set_id", "tokens"])
 
     return run
@@ -181,6 +179,34 @@ def _similar(t: Fraction):
     return common * t.denominator >= t.numerator * (F.size("ta") + F.size("tb") - common)
 
 
+def _merge_groups(scratch: Scratch, groups: DataFrame, links: DataFrame, name: str) -> DataFrame:
+    """``groups`` (id, component) with the components that ``links`` (src, dst) connect made one.
+
+    Every round each group that touches a smaller one joins the smallest it touches, and what joined is
+    contracted, so that only links between different groups are left for the next round.
+    """
+
+    def between(pairs: DataFrame, names: DataFrame) -> DataFrame:
+        left, right = (names.select(F.col("id").alias(c), F.col("component").alias(g)) for c, g in (("src", "a"), ("dst", "b")))
+        ends = pairs.join(left, "src").join(right, "dst").where("a <> b")
+        return ends.select(F.greatest("a", "b").alias("src"), F.least("a", "b").alias("dst")).distinct()
+
+    number = 0
+    edges, seen = scratch.write_counted(between(links, groups), f"{name}-edges-0", rows=F.count("*"))
+    while seen["rows"]:
+        both = edges.union(edges.select("dst", "src"))
+        low = scratch.write(both.groupBy("src").agg(F.min("dst").alias("low")).select(F.col("src").alias("id"), F.least("src", "low").alias("low")), f"{name}-low-{number}")
+        above = low.select(F.col("id").alias("low"), F.col("low").alias("component"))
+        names = scratch.write(low.join(above, "low").select("id", "component"), f"{name}-names-{number}")
+        renamed = groups.withColumnRenamed("component", "old").join(names.withColumnRenamed("id", "old"), "old", "left")
+        groups = scratch.write(renamed.select("id", F.coalesce("component", "old").alias("component")), f"{name}-{number}")
+        number += 1
+        edges, seen = scratch.write_counted(between(edges, names), f"{name}-edges-{number}", rows=F.count("*"))
+        for old in (f"{name}-edges-{number - 1}", f"{name}-low-{number - 1}", f"{name}-{number - 2}"):
+            scratch.drop(old)
+    return groups
+
+
 def ngram_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 3, threshold: Fraction = Fraction(9, 10)) -> DataFrame:
     """(id_col, n_shingles, set_id, component_id) of every row of ``docs``.
 
@@ -190,8 +216,7 @@ def ngram_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     rows of their own with equal results if their texts are equal; null ids stay null. Ties need no rule.
     Other columns of ``docs`` are not looked at. An empty table gives an empty result.
     """
-    spark = docs.sparkSession
-    scratch = Scratch(spark, "ngram-join")
+    scratch = Scratch(docs.sparkSession, "ngram-join")
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
     summary = scratch.write(
         texts.mapInArrow(_summaries(width, threshold), "id long, n_shingles long, set_id long, keys array<long>"), "summaries"
@@ -204,46 +229,133 @@ def ngram_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     wanted = matches.select("set_id").union(matches.select("leader")).distinct()
     # One text stands for each set that has a match.
     carriers = named.join(wanted, "set_id", "left_semi").groupBy("set_id").agg(F.min("id").alias("id"))
-    carried = texts.join(scratch.write(carriers, "carriers").where(F.col("id").isNotNull()), "id").select("set_id", "text")
+    carried = texts.join(carriers.where(F.col("id").isNotNull()), "id").select("set_id", "text")
     tokens = scratch.write(carried.mapInArrow(_token_sets(width), "set_id long, tokens array<long>").dropDuplicates(["set_id"]), "tokens")
 
-    def verified(pairs: DataFrame, name: str) -> DataFrame:
-        left, right = (tokens.select(F.col("set_id").alias(c), F.col("tokens").alias(t)) for c, t in (("src", "ta"), ("dst", "tb")))
-        return scratch.write(pairs.join(left, "src").join(right, "dst").where(_similar(threshold)).select("src", "dst"), name)
-
-    stars = verified(matches.select(F.col("set_id").alias("src"), F.col("leader").alias("dst")).distinct(), "stars")
-    vertices = wanted.select(F.col("set_id").alias("id"))
-    groups = scratch.write(connected_components(vertices, stars), "groups")
-
-    # Matches that still hold several groups.
-    members = matches.select("key", "set_id").union(matches.select("key", F.col("leader").alias("set_id"))).distinct()
-    members = members.join(groups.withColumnRenamed("id", "set_id"), "set_id")
-    several = members.groupBy("key").agg(F.min("component").alias("a"), F.max("component").alias("b")).where("a < b").select("key")
-    sizes = groups.groupBy("component").agg(F.count("*").alias("members"))
-    members = members.join(scratch.write(several, "several"), "key", "left_semi").join(scratch.write(sizes, "sizes"), "component")
-    block = F.pmod(F.xxhash64("set_id"), F.ceil(F.col("members") / BLOCK))
-    members = scratch.write(members.withColumn("block", block), "members")
-    blocks = members.select("component", "block", "set_id").distinct()
-    # The token-group matrix: each block's token union and its smallest set.
-    union = blocks.join(tokens, "set_id").select("component", "block", F.size("tokens").alias("n"), F.explode("tokens").alias("token"))
-    matrix = union.groupBy("component", "block").agg(F.collect_set("token").alias("tb"), F.min("n").alias("least"))
-    asked = members.select("key", F.col("set_id").alias("src"), F.col("component").alias("own"), F.col("members").alias("own_members"))
-    offered = members.select("key", "component", "block", "members").distinct()
-    smaller = F.struct("own_members", "own") < F.struct("members", "component")
-    bound = asked.join(offered, "key").where(smaller).select("src", "component", "block").distinct()
-    need = F.greatest(F.col("least") * threshold.denominator, F.ceil(F.size("ta") * threshold.numerator)) / threshold.denominator
-    reach = F.size(F.array_intersect("ta", "tb")) * (threshold.numerator + threshold.denominator) + 1e-6 >= threshold.numerator * (F.size("ta") + need)
-    left = tokens.select(F.col("set_id").alias("src"), F.col("tokens").alias("ta"))
-    opened = bound.join(left, "src").join(scratch.write(matrix, "matrix"), ["component", "block"]).where(reach).select("src", "component", "block")
-    pairs = scratch.write(opened, "opened").join(blocks, ["component", "block"]).select("src", F.col("set_id").alias("dst")).distinct()
-    links = stars.union(verified(pairs, "opened-links"))
-    groups = scratch.write(connected_components(vertices, links), "joined").select(F.col("id").alias("set_id"), F.col("component").alias("root"))
+    # A family: sets with the same leader of their leaders. Most of a group of copies is similar to it.
+    led = matches.groupBy("set_id").agg(F.min("leader").alias("leader"))
+    above = led.select(F.col("set_id").alias("leader"), F.col("leader").alias("family"))
+    families = tokens.join(led, "set_id", "left").select("set_id", F.coalesce("leader", "set_id").alias("leader")).join(above, "leader", "left")
+    families = scratch.write(families.select("set_id", F.coalesce("family", "leader").alias("family")), "families")
+    left, right = (tokens.select(F.col("set_id").alias(c), F.col("tokens").alias(t)) for c, t in (("src", "ta"), ("dst", "tb")))
+    stars = families.where("set_id <> family").select(F.col("set_id").alias("src"), F.col("family").alias("dst"))
+    stars = stars.join(left, "src").join(right, "dst").where(_similar(threshold)).select("src", "dst")
+    alone = tokens.select(F.col("set_id").alias("id"), F.col("set_id").alias("component"))
+    groups = _merge_groups(scratch, alone, stars, "groups")
+    groups = _open_groups(scratch, matches, tokens, families, groups, threshold)
     # Names are set hashes so far; a component is named by its smallest document.
-    classed = named.groupBy("set_id").agg(F.min("id").alias("least")).join(groups, "set_id", "left")
-    classed = classed.select("set_id", F.coalesce("root", "set_id").alias("root"), "least")
-    roots = scratch.write(classed.groupBy("root").agg(F.min("least").alias("component_id")), "roots")
+    classed = named.groupBy("set_id").agg(F.min("id").alias("least")).join(groups.withColumnRenamed("id", "set_id"), "set_id", "left")
+    classed = classed.select("set_id", F.coalesce("component", "set_id").alias("root"), "least")
+    roots = classed.groupBy("root").agg(F.min("least").alias("component_id"))
     classed = scratch.write(classed.join(roots, "root").select("set_id", "component_id"), "classed")
-    for name in ("matches", "carriers", "tokens", "stars", "groups", "several", "sizes", "members", "matrix", "opened", "opened-links", "joined", "roots"):
+    for name in ("matches", "tokens", "families"):
         scratch.drop(name)
     result = summary.select("id", "n_shingles", "set_id").join(classed, "set_id", "left")
     return result.select(F.col("id").alias(id_col), "n_shingles", "set_id", F.coalesce("component_id", "id").alias("component_id"))
+
+
+def _open_groups(scratch: Scratch, matches: DataFrame, tokens: DataFrame, families: DataFrame, groups: DataFrame, t: Fraction) -> DataFrame:
+    """Groups after every set has met, by the matrix, all sets of other groups with which it shares a match."""
+    pairs = matches.select("key", "set_id").union(matches.select("key", F.col("leader").alias("set_id")))
+    pairs = pairs.join(groups.withColumnRenamed("id", "set_id"), "set_id")
+    of_key = Window.partitionBy("key")
+    several = pairs.withColumns({"low": F.min("component").over(of_key), "high": F.max("component").over(of_key)}).where("low < high")
+    members, seen = scratch.write_counted(several.select("key", "set_id", "component").distinct(), "members", rows=F.count("*"))
+    if not seen["rows"]:
+        return groups
+    # A set asks a family if some earlier set in it shares a match and is of another group.
+    ranges = [F.min("set_id").alias("first"), F.min("component").alias("low"), F.max("component").alias("high")]
+    others = "first < set_id AND (low <> component OR high <> component)"
+    offered = members.join(families, "set_id").groupBy("key", "family").agg(*ranges)
+    asking = scratch.write(members.join(offered, "key").where(others).select("set_id", "component", "family").distinct(), "asking")
+    # Groups of the matrix: families in blocks. The sets that ask a block come in several streams if they are many.
+    sizes = families.groupBy("family").agg(F.count("*").alias("n"))
+    streams = asking.groupBy("family").agg(F.ceil(F.count("*") / STREAM).alias("streams"))
+    block = F.pmod(F.xxhash64("set_id"), F.ceil(F.col("n") / BLOCK))
+    blocks = families.join(sizes, "family").join(streams, "family").select("set_id", "family", "streams", block.alias("block"))
+    blocks = scratch.write(blocks.join(groups.withColumnRenamed("id", "set_id"), "set_id"), "blocks")
+    bounds = scratch.write(blocks.groupBy("family", "block", "streams").agg(*ranges), "bounds")
+    asked = asking.join(bounds, "family").where(others).select(
+        "family", "block", F.pmod(F.xxhash64("set_id", "block"), "streams").alias("stream"), F.lit(True).alias("asks"), "set_id", "component"
+    )
+    held = blocks.select(
+        "family", "block", F.explode(F.sequence(F.lit(0).cast("long"), F.col("streams") - 1)).alias("stream"), F.lit(False).alias("asks"), "set_id", "component"
+    )
+    rows = held.union(asked).join(tokens, "set_id").select("family", "block", "stream", "asks", "set_id", "component", "tokens")
+    rows = rows.repartition("family", "block", "stream").sortWithinPartitions("family", "block", "stream", "asks")
+    links = scratch.write(rows.mapInArrow(_open_blocks(t), "src long, dst long"), "opened")
+    groups = _merge_groups(scratch, groups, links, "joined")
+    for name in ("members", "asking", "blocks", "bounds", "opened"):
+        scratch.drop(name)
+    return groups
+
+
+class _Block:
+    """The token-group matrix of up to 64 sets: their token union, and one bit per set for each token."""
+
+    def __init__(self, members: list[tuple[int, int, np.ndarray]]):
+        self.members = members
+        every = np.concatenate([m[2] for m in members])
+        self.union = np.unique(every)
+        self.bits = np.zeros(len(self.union), np.uint64)
+        for i, (_, _, tokens) in enumerate(members):
+            self.bits[np.searchsorted(self.union, tokens)] |= np.uint64(1 << i)
+        self.sizes = np.array([len(m[2]) for m in members])
+
+    def similar(self, tokens: np.ndarray, t: Fraction) -> list[int]:
+        """Numbers of the similar members; compared only if the union's overlap allows any."""
+        at = np.searchsorted(self.union, tokens)
+        at[at == len(self.union)] = 0
+        hit = at[self.union[at] == tokens]
+        least = max(int(self.sizes.min()), math.ceil(len(tokens) * t))
+        if len(hit) * (t.numerator + t.denominator) < t.numerator * (len(tokens) + least):
+            return []
+        common = np.zeros(64, np.int64)
+        for i in range(0, len(hit), 4096):
+            common += np.unpackbits(self.bits[hit[i : i + 4096]].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(0, dtype=np.int64)
+        common = common[: len(self.members)]
+        return np.flatnonzero(common * t.denominator >= t.numerator * (len(tokens) + self.sizes - common)).tolist()
+
+    def connect(self, t: Fraction) -> list[tuple[int, int]]:
+        """Links that connect similar members; from then on ``group`` names what is connected here."""
+        out = []
+        self.group = {m[1]: m[1] for m in self.members}
+        for name, component, tokens in self.members:
+            out += self.links(name, component, tokens, t)
+        return out
+
+    def links(self, name: int, component: int, tokens: np.ndarray, t: Fraction) -> list[tuple[int, int]]:
+        """A link to one similar member of every group but the set's own."""
+        found = {}
+        for i in self.similar(tokens, t):
+            found.setdefault(self.group[self.members[i][1]], self.members[i][0])
+        own = self.group.get(component, component)
+        found.pop(own, None)
+        if component in self.group:
+            self.group = {c: own if g in found else g for c, g in self.group.items()}
+        return [(name, other) for other in found.values()]
+
+
+def _open_blocks(t: Fraction):
+    """Rows sorted by block, its members before the sets that ask it, to links."""
+
+    def run(batches):
+        key, members, built = None, [], None
+        for batch in batches:
+            out = []
+            columns = [batch.column(i).to_pylist() for i in range(6)]
+            for row, (family, block, stream, asks, name, component) in enumerate(zip(*columns)):
+                if (family, block, stream) != key:
+                    key, members, built = (family, block, stream), [], None
+                tokens = batch.column(6)[row].values.to_numpy()
+                if not asks:
+                    members.append((name, component, tokens.copy()))
+                    continue
+                if built is None:
+                    built = [_Block(members[i : i + 64]) for i in range(0, len(members), 64)]
+                    out += [link for b in built for link in b.connect(t)]
+                out += [link for b in built for link in b.links(name, component, tokens, t)]
+            src, dst = zip(*out) if out else ((), ())
+            yield pa.RecordBatch.from_arrays([pa.array(src, pa.int64()), pa.array(dst, pa.int64())], ["src", "dst"])
+
+    return run

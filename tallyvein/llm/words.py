@@ -22,7 +22,7 @@ _LOWER[65:91] += 32
 
 def mix(x: np.ndarray) -> np.ndarray:
     """Spread the bits of 64-bit words; one to one."""
-    x = x.astype(np.uint64, copy=True)
+    x = np.array(x, np.uint64, ndmin=1)
     x ^= x >> np.uint64(30)
     x *= np.uint64(0xBF58476D1CE4E5B9)
     x ^= x >> np.uint64(27)
