@@ -10,14 +10,15 @@ distinct chunks, that the other text's chunks contain.
 from __future__ import annotations
 
 import hashlib
+import math
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.ml.feature import Bucketizer
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyvein.llm.words import _POWERS, mix, prefix_hashes, text_slices
-from tallyvein.session import Scratch
 
 LEAST, USUAL, MOST = 32, 96, 384
 STRICT_BITS, LOOSE_BITS = 8, 5
@@ -101,48 +102,41 @@ def fingerprint(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     return columns.mapInArrow(run, f"`{id_col}` {kind}, fingerprint string")
 
 
-def _next_ids(rows: DataFrame, scratch: Scratch) -> DataFrame:
-    """(id, next_id): the next smaller id, after the smallest the largest; no task sees more than its range of ids."""
-    ranged = rows.select("id").distinct().repartitionByRange(F.col("id"))
-    ranged = scratch.write(ranged.withColumn("part", F.spark_partition_id()), "ids")
-    # A row per range; each range goes on with the largest id of the one below, the first with the largest of all.
-    tops = [(r.part, r.top) for r in ranged.groupBy("part").agg(F.max("id").alias("top")).orderBy("part").collect()]
-    below = [(part, tops[i - 1][1]) for i, (part, _) in enumerate(tops)]
-    edges = rows.sparkSession.createDataFrame(below, "part int, edge long")
-    inside = F.lag("id").over(Window.partitionBy("part").orderBy("id"))
-    return ranged.withColumn("inside", inside).join(F.broadcast(edges), "part").select("id", F.coalesce("inside", "edge").alias("next_id"))
+def _ranges(ids: DataFrame) -> Bucketizer | None:
+    """Splits of the ids into about as many ranges as the session has shuffle partitions."""
+    parts = int(ids.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    bounds = sorted(set(ids.approxQuantile("id", [i / parts for i in range(1, parts)], 0.25 / parts))) if parts > 1 else []
+    return Bucketizer(splits=[-math.inf, *bounds, math.inf], inputCol="id_number", outputCol="part") if bounds else None
 
 
-def _lend(batches):
+def _edit(batches):
+    """Rows by range and falling id, each range followed by the row that comes next, to the results."""
+    waiting: list[tuple] = []  # rows of one id until the next document is met
+    key = None
     for batch in batches:
-        prints = fingerprints_of(batch.column(2))
-        yield pa.RecordBatch.from_arrays(
-            [
-                batch.column(0), batch.column(1),
-                pa.array([d.view(np.int64) for d, _ in prints], pa.list_(pa.int64())), pa.array([n for _, n in prints], pa.list_(pa.int64())),
-            ],
-            ["id", "start", "digests", "sizes"],
-        )
-
-
-def _compare(batches):
-    for batch in batches:
-        texts = [t or "" for t in batch.column(1).to_pylist()]
-        starts = batch.column(2).to_pylist()
-        edited = [t[: len(t) - len(t) // 3] + (s or "")[: len(t) // 3] for t, s in zip(texts, starts)]
-        own = fingerprints_of(batch.column(1))
+        done = []
+        prints = fingerprints_of(batch.column(3))
+        rows = zip(*(batch.column(i).to_pylist() for i in range(4)), prints)
+        for part, lent, name, text, print_ in rows:
+            if name is None:
+                done.append((name, text, print_, "", None))
+                continue
+            if (part, lent, name) != key:
+                if key is not None and key[0] == part:
+                    done += [(*row, text, print_) for row in waiting]
+                    waiting = []
+                key = (part, lent, name)
+            if not lent:
+                waiting.append((name, text, print_))
+        edited = [text[: len(text) - len(text) // 3] + following[: len(text) // 3] for _, text, _, following, _ in done]
         new = fingerprints_of(pa.array(edited, pa.large_string()))
-        near_next = []
-        for i, print_ in enumerate(own):
-            digests, sizes = batch.column(3)[i], batch.column(4)[i]
-            other = (digests.values.to_numpy().view(np.uint64), sizes.values.to_numpy()) if digests.is_valid else None
-            near_next.append(likeness(print_, other) if other else 0.0)
         yield pa.RecordBatch.from_arrays(
             [
-                batch.column(0), pa.array([len(t) for t in texts], pa.int64()),
+                pa.array([d[0] for d in done], pa.int64()), pa.array([len(d[1]) for d in done], pa.int64()),
                 pa.array([hashlib.sha256(t.encode()).hexdigest() for t in edited], pa.string()),
-                pa.array(map(written, own), pa.string()), pa.array(map(written, new), pa.string()),
-                pa.array([likeness(a, b) for a, b in zip(own, new)], pa.float64()), pa.array(near_next, pa.float64()),
+                pa.array([written(d[2]) for d in done], pa.string()), pa.array(map(written, new), pa.string()),
+                pa.array([likeness(d[2], n) for d, n in zip(done, new)], pa.float64()),
+                pa.array([0.0 if d[4] is None else likeness(d[2], d[4]) for d in done], pa.float64()),
             ],
             ["id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"],
         )
@@ -157,17 +151,27 @@ def edited_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     that others meet as the next document. A row without an id has no next document: nothing replaces its
     last third and near_next is 0. Null texts count as empty. Other columns are not looked at. The
     likeness of two empty texts is 1, of an empty and another one 0.
+
+    The texts are shuffled once, by range of ids, and stream through their tasks in order. Each range ends
+    with a copy of the row that the range below begins with, so no task needs another one's rows.
     """
-    scratch = Scratch(docs.sparkSession, "fingerprints")
-    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    rows = docs.select(F.col(id_col).cast("long").alias("id"), text.alias("text"))
-    lengths = rows.where("id IS NOT NULL").groupBy("id").agg(F.max(F.floor(F.length("text") / 3)).cast("int").alias("wanted"))
-    asked = _next_ids(rows.where("id IS NOT NULL"), scratch).join(lengths, "id")
-    asked = scratch.write(asked.select(F.col("id").alias("asks"), F.col("next_id").alias("id"), "wanted"), "asked")
-    # What a document lends: as much of its start as the one before it takes, and its fingerprint.
-    lent = rows.join(asked, "id").select("asks", F.expr("substring(text, 1, wanted)").alias("start"), "text")
-    lent = lent.mapInArrow(_lend, "id long, start string, digests array<long>, sizes array<long>")
-    lent = lent.groupBy("id").agg(F.min(F.struct("start", "digests", "sizes")).alias("lent"))
-    joined = rows.join(lent, "id", "left").select("id", "text", "lent.start", "lent.digests", "lent.sizes")
+    spark = docs.sparkSession
+    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
+    split = _ranges(rows.select("id").where("id IS NOT NULL"))
+
+    def placed(df: DataFrame) -> DataFrame:
+        if split is None:
+            return df.withColumn("part", F.lit(0))
+        numbered = df.withColumn("id_number", F.coalesce(F.col("id").cast("double"), F.lit(0.0)))
+        return split.transform(numbered).withColumn("part", F.col("part").cast("int")).drop("id_number")
+
+    tops = placed(rows.select("id").where("id IS NOT NULL")).groupBy("part").agg(F.max("id").alias("top")).orderBy("part").collect()  # a row per range
+    edges = [(tops[i - 1].top, r.part) for i, r in enumerate(tops)]
+    following = F.broadcast(spark.createDataFrame(edges, "id long, part int"))
+    order = ["part", "lent", "id", "text"]
+    stream = placed(rows).select("part", F.lit(False).alias("lent"), "id", "text").unionByName(
+        rows.join(following, "id").select("part", F.lit(True).alias("lent"), "id", "text")
+    )
+    stream = stream.repartition("part").sortWithinPartitions("part", "lent", F.desc("id"), "text").select(order)
     schema = "id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
-    return joined.mapInArrow(_compare, schema).withColumnRenamed("id", id_col)
+    return stream.mapInArrow(_edit, schema).withColumnRenamed("id", id_col)
