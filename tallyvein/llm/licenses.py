@@ -23,6 +23,8 @@ from tallyvein.session import Scratch
 #: Fixed by the contract: phrases and their labels, and what a word is (after A-Z became a-z).
 PHRASES = (("mit license", "mit"), ("apache license", "apache"), ("general public license", "gpl"))
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+#: What stands between words.
+BETWEEN = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 #: Opening statements of well-known licenses.
 TEMPLATES = (
     ("apache-2.0", "Licensed under the Apache License, Version 2.0"),
@@ -39,7 +41,13 @@ _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
 def _words(text: str) -> Column:
-    return F.expr(f"regexp_extract_all({text}, r'({WORD})', 1)")
+    return F.expr(f"array_remove(split({text}, r'{BETWEEN}'), '')")
+
+
+def _lower(text: Column) -> Column:
+    """A-Z as a-z. Other letters may change too, as they are in no phrase or template; the two that would
+    become ASCII letters are kept from it."""
+    return F.lower(F.replace(F.replace(text, F.lit("\u212a"), F.lit("\u0138")), F.lit("\u0130"), F.lit("\u0131")))
 
 
 def _own_words(text: str) -> list[str]:
@@ -70,7 +78,7 @@ def license_report(
     plain = [(label, len(_own_words(text)), sorted(set(_own_words(text)))) for label, text in templates]
     tokens = sorted({w for _, _, own in plain for w in own})
     listed = F.array(*map(F.lit, tokens)) if tokens else F.expr("cast(array() as array<string>)")
-    text = F.translate(F.coalesce(F.col(text_col).cast("string"), F.lit("")), _UPPER, _LOWER)
+    text = _lower(F.coalesce(F.col(text_col).cast("string"), F.lit("")))
     texts = docs.select(F.col(id_col).alias("id"), text.alias("text")).withColumn("text_hash", F.xxhash64("text"))
     found = texts.withColumn("words", _words("text")).select(
         "id", "text_hash", F.size("words").cast("long").alias("n_words"),
