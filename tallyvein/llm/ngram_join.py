@@ -7,9 +7,9 @@
    texts share does not bring them together.
 3. Sets that share matches form families, and those similar to the head of their family are linked to
    it. What still shares a match across such groups goes through the matrix: a family is cut into
-   groups of bounded size, each with its token union and one bit per token and set. The overlap of a
-   set with a union bounds its overlap with every member, and only groups that qualify are opened.
-   A task holds one group at a time while sets that ask it stream by.
+   blocks of groups of bounded size, each group with its token union and one bit per token and set.
+   The overlap of a set with a union bounds its overlap with every member, and only groups that
+   qualify are opened. A task holds one block at a time while sets that ask it stream by.
 4. Links connect; the component is the result.
 
 Nothing is capped: a match of any size is walked as a sorted stream, and all similar pairs end in one
@@ -33,10 +33,10 @@ from tallyvein.session import Scratch
 
 #: Share of texts that may fall back to matching by empty ranges; they stay exact, only less selective.
 _RARE = 1e-6
-#: Sets of one group in the matrix, on average.
-BLOCK = 64
-#: Sets that ask a group in one stream, on average.
-STREAM = 512
+#: Sets of a block of eight groups of the matrix, on average; each group has a bit for each of its 64 sets.
+BLOCK = 512
+#: Sets that ask a block in one stream, on average.
+STREAM = 2048
 
 
 @dataclass(frozen=True)
@@ -82,16 +82,19 @@ class Classes:
 
 def _emptier(n: int, ranges: int, spare: int) -> float:
     """Bound of the chance that ``n`` tokens leave more than ``spare`` ranges empty."""
-    return math.comb(ranges, spare + 1) * max(0.0, 1 - (spare + 1) / ranges) ** n
+    if spare + 1 >= ranges:
+        return 0.0
+    choices = math.lgamma(ranges + 1) - math.lgamma(spare + 2) - math.lgamma(ranges - spare)
+    return math.exp(min(0.0, choices + n * math.log1p(-(spare + 1) / ranges)))
 
 
 def _key(sums: np.ndarray, salt: np.ndarray | int) -> np.ndarray:
     return mix(sums ^ mix(np.asarray(salt, np.uint64) + np.uint64(0x5851F42D4C957F2D)))
 
 
-def _keys(tokens: np.ndarray, classes: Classes) -> list[np.ndarray]:
-    """Keys of a sorted token set: any two similar, unequal sets have one in common."""
-    n, out = len(tokens), []
+def _keys(tokens: np.ndarray, classes: Classes) -> tuple[list[np.ndarray], int]:
+    """Keys of a sorted token set, and how many of them it has in common with any similar, unequal set at least."""
+    n, out, needs = len(tokens), [], []
     own = classes.of(n)
     largest = classes.largest(n)
     weights = mix(tokens ^ np.uint64(0xD1B54A32D192ED03))
@@ -102,6 +105,7 @@ def _keys(tokens: np.ndarray, classes: Classes) -> list[np.ndarray]:
         if c.number == 0:  # at most one token apart: one set is the other without a token
             total = weights.sum(dtype=np.uint64)
             out.append(_key(np.concatenate(([total], total - weights)), 0))
+            needs.append(1)
             continue
         used = min(classes.differences(n + partner) + 1 + c.spare, c.ranges)
         part = ((tokens >> np.uint64(32)) * np.uint64(c.ranges)) >> np.uint64(32)
@@ -111,9 +115,11 @@ def _keys(tokens: np.ndarray, classes: Classes) -> list[np.ndarray]:
         full = part[starts]
         salt = np.uint64(c.number << 40)
         out.append(_key(sums, full + salt))
+        # One range more than ``spare`` agrees; those empty here have no key.
+        needs.append(max(1, 1 + c.spare - (used - len(full))))
         if used - len(full) > c.spare:
             out.append(_key(np.zeros(used - len(full), np.uint64), np.setdiff1d(np.arange(used, dtype=np.uint64), full) + salt))
-    return out
+    return out, min(needs, default=1)
 
 
 def _set_hash(tokens: np.ndarray) -> int:
@@ -127,21 +133,23 @@ def _signed(parts: list[np.ndarray]) -> np.ndarray:
 
 
 def _summaries(width: int, threshold: Fraction):
-    """(id, text) batches to (id, n_shingles, set_id, keys); a set met before in the task has no keys."""
+    """(id, text) batches to (id, n_shingles, set_id, need, keys); a set met before in the task has no keys."""
 
     def run(batches):
         classes, seen = Classes(threshold), set()
         for batch in batches:
-            sizes, names, keys = [], [], []
+            sizes, names, needs, keys = [], [], [], []
             for tokens in shingle_sets(batch.column(1), width):
                 name = _set_hash(tokens) if len(tokens) else None
                 sizes.append(len(tokens))
                 names.append(name)
-                keys.append(_signed(_keys(tokens, classes)) if len(tokens) and name not in seen else None)
+                own, need = _keys(tokens, classes) if len(tokens) and name not in seen else (None, None)
+                needs.append(need)
+                keys.append(None if own is None else _signed(own))
                 seen.add(name)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(sizes, pa.int64()), pa.array(names, pa.int64()), pa.array(keys, pa.list_(pa.int64()))],
-                ["id", "n_shingles", "set_id", "keys"],
+                [batch.column(0), pa.array(sizes, pa.int64()), pa.array(names, pa.int64()), pa.array(needs, pa.int32()), pa.array(keys, pa.list_(pa.int64()))],
+                ["id", "n_shingles", "set_id", "need", "keys"],
             )
 
     return run
@@ -168,7 +176,7 @@ def _token_sets(width: int):
     def run(batches):
         for batch in batches:
             sets = [np.sort(t.view(np.int64)) for t in shingle_sets(batch.column(1), width)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.list_(pa.int64()))], ["set_id", "tokens"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.list_(pa.int64())), batch.column(2)], ["set_id", "tokens", "need"])
 
     return run
 
@@ -218,25 +226,25 @@ def ngram_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     """
     scratch = Scratch(docs.sparkSession, "ngram-join")
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    summary = scratch.write(
-        texts.mapInArrow(_summaries(width, threshold), "id long, n_shingles long, set_id long, keys array<long>"), "summaries"
-    )
-    named = summary.where(F.col("set_id").isNotNull())
-    rows = named.select(F.explode("keys").alias("key"), "set_id")
+    keyed = scratch.write(texts.mapInArrow(_summaries(width, threshold), "id long, n_shingles long, set_id long, need int, keys array<long>"), "keyed")
+    rows = keyed.select(F.explode("keys").alias("key"), "set_id")
     matches = scratch.write(
         rows.repartition("key").sortWithinPartitions("key", "set_id").mapInArrow(_matches, "key long, set_id long, leader long"), "matches"
     )
+    summary = scratch.write(keyed.drop("keys"), "summaries")
+    scratch.drop("keyed")
+    named = summary.where(F.col("set_id").isNotNull())
     wanted = matches.select("set_id").union(matches.select("leader")).distinct()
     # One text stands for each set that has a match.
-    carriers = named.join(wanted, "set_id", "left_semi").groupBy("set_id").agg(F.min("id").alias("id"))
-    carried = texts.join(carriers.where(F.col("id").isNotNull()), "id").select("set_id", "text")
-    tokens = scratch.write(carried.mapInArrow(_token_sets(width), "set_id long, tokens array<long>").dropDuplicates(["set_id"]), "tokens")
+    carriers = named.join(wanted, "set_id", "left_semi").groupBy("set_id").agg(F.min("id").alias("id"), F.min("need").alias("need"))
+    carried = texts.join(carriers.where(F.col("id").isNotNull()), "id").select("set_id", "text", "need")
+    tokens = scratch.write(carried.mapInArrow(_token_sets(width), "set_id long, tokens array<long>, need int").dropDuplicates(["set_id"]), "tokens")
 
     # A family: sets with the same leader of their leaders. Most of a group of copies is similar to it.
     led = matches.groupBy("set_id").agg(F.min("leader").alias("leader"))
     above = led.select(F.col("set_id").alias("leader"), F.col("leader").alias("family"))
-    families = tokens.join(led, "set_id", "left").select("set_id", F.coalesce("leader", "set_id").alias("leader")).join(above, "leader", "left")
-    families = scratch.write(families.select("set_id", F.coalesce("family", "leader").alias("family")), "families")
+    families = tokens.join(led, "set_id", "left").select("set_id", "need", F.coalesce("leader", "set_id").alias("leader")).join(above, "leader", "left")
+    families = scratch.write(families.select("set_id", "need", F.coalesce("family", "leader").alias("family")), "families")
     left, right = (tokens.select(F.col("set_id").alias(c), F.col("tokens").alias(t)) for c, t in (("src", "ta"), ("dst", "tb")))
     stars = families.where("set_id <> family").select(F.col("set_id").alias("src"), F.col("family").alias("dst"))
     stars = stars.join(left, "src").join(right, "dst").where(_similar(threshold)).select("src", "dst")
@@ -263,12 +271,14 @@ def _open_groups(scratch: Scratch, matches: DataFrame, tokens: DataFrame, famili
     members, seen = scratch.write_counted(several.select("key", "set_id", "component").distinct(), "members", rows=F.count("*"))
     if not seen["rows"]:
         return groups
-    # A set asks a family if some earlier set in it shares a match and is of another group.
+    # A set asks a family if it shares as many matches with earlier sets of other groups there as a similar set would.
     ranges = [F.min("set_id").alias("first"), F.min("component").alias("low"), F.max("component").alias("high")]
     others = "first < set_id AND (low <> component OR high <> component)"
     offered = members.join(families, "set_id").groupBy("key", "family").agg(*ranges)
-    asking = scratch.write(members.join(offered, "key").where(others).select("set_id", "component", "family").distinct(), "asking")
-    # Groups of the matrix: families in blocks. The sets that ask a block come in several streams if they are many.
+    shared = members.join(offered, "key").where(others).groupBy("set_id", "component", "family").agg(F.count("*").alias("shared"))
+    enough = shared.join(families.select("set_id", "need"), "set_id").where("shared >= need")
+    asking = scratch.write(enough.select("set_id", "component", "family"), "asking")
+    # Families in blocks of groups. The sets that ask a block come in several streams if they are many.
     sizes = families.groupBy("family").agg(F.count("*").alias("n"))
     streams = asking.groupBy("family").agg(F.ceil(F.count("*") / STREAM).alias("streams"))
     block = F.pmod(F.xxhash64("set_id"), F.ceil(F.col("n") / BLOCK))
@@ -281,7 +291,7 @@ def _open_groups(scratch: Scratch, matches: DataFrame, tokens: DataFrame, famili
     held = blocks.select(
         "family", "block", F.explode(F.sequence(F.lit(0).cast("long"), F.col("streams") - 1)).alias("stream"), F.lit(False).alias("asks"), "set_id", "component"
     )
-    rows = held.union(asked).join(tokens, "set_id").select("family", "block", "stream", "asks", "set_id", "component", "tokens")
+    rows = held.union(asked).join(tokens.select("set_id", "tokens"), "set_id").select("family", "block", "stream", "asks", "set_id", "component", "tokens")
     rows = rows.repartition("family", "block", "stream").sortWithinPartitions("family", "block", "stream", "asks")
     links = scratch.write(rows.mapInArrow(_open_blocks(t), "src long, dst long"), "opened")
     groups = _merge_groups(scratch, groups, links, "joined")

@@ -6,7 +6,7 @@ from fractions import Fraction
 
 import pytest
 
-from tallyvein.llm.ngram_join import ngram_components
+from tallyvein.llm.ngram_join import Classes, ngram_components
 
 
 def brute(rows, width, t):
@@ -78,3 +78,10 @@ def test_group_of_near_copies_with_outliers(spark):
         rows.append((i, " ".join(words)))
     got = ngram_components(spark.createDataFrame(rows, "doc_id long, text string"))
     assert {(r.doc_id, r.n_shingles, r.component_id) for r in got.collect()} == brute(rows, 3, Fraction(9, 10))
+
+
+def test_classes_of_very_large_sets():
+    for t in (Fraction(9, 10), Fraction(8, 10), Fraction(1, 2)):
+        classes = Classes(t)
+        own = classes.of(3_000_000)
+        assert own.low <= 3_000_000 < own.high and classes.differences(2 * (own.high - 1)) < own.ranges
