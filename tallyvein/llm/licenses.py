@@ -1,11 +1,13 @@
 """License scans: phrase places, and an exact set-similarity join of text blocks with license templates.
 
 A template stands in a text if some block of it holds at least ``CONTAINED`` of the template's distinct
-words. Blocks are runs of twice the template's words, one starting every template length, so that every
-run of the template's length lies whole in a block. Template words are ordered by their document
-frequency over the whole corpus, rarest first. A text can only match if it has one of the first
+words. Blocks are runs of twice the template's words. With ``every_start`` one starts at every word;
+without, one starts every template length, which finds every run of the template's length but misses
+some longer ones. Template words are ordered by their document frequency over the whole corpus, rarest first. A text can only match if it has one of the first
 |T| - need + 1 of them (prefix filter), so frequent words open nothing; a block must be long enough
-(length filter) and the words from its first template word on must suffice (positional filter).
+(length filter) and the words from its first template word on must suffice (positional filter). Of
+starts at every word, a run of three template lengths holds those of one template length; only runs that
+pass the same filters are walked, at their template words.
 
 Only DataFrame and SQL functions run on the rows.
 """
@@ -63,14 +65,16 @@ def _places(words: str, phrase: str) -> Column:
 
 
 def license_report(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", phrases=PHRASES, templates=TEMPLATES, contained: float = CONTAINED
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", phrases=PHRASES, templates=TEMPLATES, contained: float = CONTAINED,
+    every_start: bool = False,
 ) -> DataFrame:
     """One row per row of ``docs``: n_words, the places of phrases, and the labels of phrases and templates.
 
     Columns: id_col, n_words, n_base, first_word, last_word, base_labels, labels, score. ``score`` is 1
     where a phrase stands, else the largest share of a template found in a block if it reaches
     ``contained``, else 0. Null and empty texts have no words and no labels. Repeated rows give equal
-    rows, null ids included. Other columns are not looked at. Templates are a list in the program, not
+    rows, null ids included. ``every_start`` looks at the blocks from every word on, so that words put
+    before a statement change nothing. Other columns are not looked at. Templates are a list in the program, not
     a table: what is broadcast is as long as they are.
     """
     scratch = Scratch(docs.sparkSession, "licenses")
@@ -105,11 +109,16 @@ def license_report(
     blocks = (
         texts.where(some).alias("t").join(leads.alias("l"), F.col("t.id").eqNullSafe(F.col("l.id")) & (F.col("t.text_hash") == F.col("l.text_hash")))
         .select("l.id", "l.text_hash", "label", "width", "need", "tokens", _words("text").alias("words"))
-        .withColumn("block", F.explode(F.expr("transform(sequence(0, size(words) - 1, width), i -> slice(words, i + 1, 2 * width))")))
+        .withColumn("block", F.explode(F.expr(f"transform(sequence(0, size(words) - 1, width), i -> slice(words, i + 1, {3 if every_start else 2} * width))")))
     )
     first = F.expr("filter(sequence(0, size(tokens) - 1), i -> array_contains(block, tokens[i]))")
     blocks = blocks.where(F.size("block") >= F.col("need")).withColumn("at", F.get(first, F.lit(0)))
     blocks = blocks.where(F.size("tokens") - F.col("at") >= F.col("need")).withColumn("common", F.size(F.array_intersect("block", "tokens")))
+    if every_start:
+        # A block that starts at another word holds no more than the one from its first template word on.
+        here = "filter(sequence(0, least(width, size(block)) - 1), i -> array_contains(tokens, block[i]))"
+        most = F.expr(f"array_max(transform({here}, i -> size(array_intersect(slice(block, i + 1, 2 * width), tokens))))")
+        blocks = blocks.where("common >= need").withColumn("common", most)
     hits = blocks.where("common >= need").groupBy("id", "text_hash").agg(
         F.collect_set("label").alias("more"), F.max(F.col("common") / F.size("tokens")).alias("share")
     )

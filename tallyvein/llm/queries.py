@@ -72,7 +72,7 @@ def op4_language(spark: SparkSession, folder: str) -> DataFrame:
 
 @query(LICENSE_SQL)
 def op5_license_scan(spark: SparkSession, folder: str) -> DataFrame:
-    return license_report(table(spark, folder, "documents"))
+    return license_report(table(spark, folder, "documents"), every_start=True)
 
 
 @query()

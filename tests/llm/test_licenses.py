@@ -61,3 +61,34 @@ def test_sql_agrees(spark, data):
     names = [d[0] for d in found.description]
     assert check.rows_of(got.columns, got.collect()) == check.rows_of(names, found.fetchall())
     assert got.where(F.col("labels") != F.col("base_labels")).count() > 0
+
+
+def test_words_before_a_statement_change_nothing(spark):
+    statements = [("mit-notice", "Released under the terms of the MIT License"), ("cc-by-nc-4.0", "Licensed under the Creative Commons CC BY-NC version 4.0")]
+    rows = [(100 * k + n, "x " * n + text + " y" * 20, label) for k, (label, text) in enumerate(statements) for n in range(15)]
+    rng = random.Random(12)
+    for i in range(300):
+        own = WORD.findall(rng.choice(TEMPLATES)[1])
+        words = [w for o in own for w in rng.choices([[o], ["zz", o], []], [6, 3, 1])[0]]
+        rows.append((1000 + i, " ".join(["q"] * rng.randrange(40) + words + ["q"] * rng.randrange(40)), None))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, label string")
+    got = {r.doc_id: r for r in license_report(docs, every_start=True).collect()}
+    assert len(got) == len(rows)
+    for i, text, label in rows:
+        words = WORD.findall(text.lower())
+        shares = {}
+        for name, statement in TEMPLATES:
+            own = WORD.findall(statement.lower())
+            most = max(len(set(words[a : a + 2 * len(own)]) & set(own)) for a in range(len(words)))
+            if most >= math.ceil(CONTAINED * len(set(own))):
+                shares[name] = most / len(set(own))
+        base = set(filter(None, got[i].base_labels.split(",")))
+        assert got[i].labels == ",".join(sorted(base | set(shares)))
+        assert got[i].score == (1.0 if base else max(shares.values(), default=0.0))
+        assert label is None or label in got[i].labels.split(",")
+
+
+def test_query_looks_at_every_start(spark, tmp_path):
+    rows = [(n, "x " * n + "Released under the terms of the MIT License" + " y" * 9) for n in range(10)]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    assert {r.labels for r in op5_license_scan(spark, str(tmp_path)).collect()} == {"mit,mit-notice"}
