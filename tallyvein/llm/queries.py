@@ -17,7 +17,7 @@ from tallyvein.llm.licenses import LICENSE_SQL, license_report
 from tallyvein.llm.ngram_join import ngram_components
 from tallyvein.llm.quality import ACCEPT, Model, fit_quality, quality_scores
 from tallyvein.llm.registry import QUERIES, SQL, query  # noqa: F401
-from tallyvein.llm.secrets import secret_report
+from tallyvein.llm.secrets import EXAMPLE_OWNERS, secret_report
 from tallyvein.llm.suffix_dedup import repeated_strings
 from tallyvein.sources.readers import table
 
@@ -38,7 +38,7 @@ def op2_bpe(spark: SparkSession, folder: str) -> DataFrame:
 @query()
 def op9_secret_scans(spark: SparkSession, folder: str) -> DataFrame:
     """A document is a repository here, its source the owner."""
-    return secret_report(table(spark, folder, "documents"), "doc_id", "text", F.col("doc_id"), F.col("source"))
+    return secret_report(table(spark, folder, "documents"), "doc_id", "text", F.col("doc_id"), F.col("source"), EXAMPLE_OWNERS - 1)
 
 
 @query()

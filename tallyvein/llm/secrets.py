@@ -2,8 +2,8 @@
 
 Patterns find candidates text by text. Every candidate's value is hashed, and the hashes are counted over
 the whole corpus by distinct repositories and distinct owners: a value that many owners hold is a copied
-example, a value of one owner looks live. High-entropy tokens are no base pattern, for most of them are
-harmless; those of a single owner are added to the spans.
+example, a value of fewer looks live. High-entropy tokens are no base pattern, for most of them are
+harmless; those that look live are added to the spans.
 """
 
 from __future__ import annotations
@@ -118,7 +118,7 @@ def secret_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """(id, text_hash, base_sha256, n_rows, spans) of every distinct pair of id and text.
 
     ``spans`` are structs (start, end, kind, owners, repositories, live) by start and kind: all base spans
-    and the tokens of a single owner. ``live`` says that fewer than ``EXAMPLE_OWNERS`` owners hold the
+    and the tokens that are live. ``live`` says that fewer than ``EXAMPLE_OWNERS`` owners hold the
     value. Offsets are code points, the end exclusive.
 
     Null texts count as empty ones; null owners and repositories are an owner and a repository each.
@@ -149,7 +149,7 @@ def secret_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         F.col("c.start").alias("start"), F.col("c.end").alias("end"), F.col("c.kind").alias("kind"),
         F.col("owners"), F.col("repositories"), (F.col("owners") < EXAMPLE_OWNERS).alias("live"),
     )
-    kept = known.where((F.col("c.kind") != "token") | (F.col("owners") == 1)).select("id", "text_hash", span.alias("span"))
+    kept = known.where((F.col("c.kind") != "token") | (F.col("owners") < EXAMPLE_OWNERS)).select("id", "text_hash", span.alias("span"))
     order = F.struct("span.start", F.array_position(F.array(*map(F.lit, (*KINDS, "token"))), F.col("span.kind")).alias("nth"), "span")
     spans = kept.groupBy("id", "text_hash").agg(F.transform(F.array_sort(F.collect_list(order)), lambda x: x["span"]).alias("spans"))
     result = single.drop("candidates").alias("s").join(
@@ -159,9 +159,17 @@ def secret_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     return result.select("s.id", "s.text_hash", "base_sha256", "n_rows", F.coalesce("spans", empty).alias("spans"))
 
 
-def secret_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", repository: Column | None = None, owner: Column | None = None) -> DataFrame:
-    """One row per row of ``docs``: counts of base spans, their digest, all spans as text, and how many look live."""
+def secret_report(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", repository: Column | None = None, owner: Column | None = None,
+    token_owners: int = 1,
+) -> DataFrame:
+    """One row per row of ``docs``: counts of base spans, their digest, all spans as text, and how many look live.
+
+    Of the tokens, those of at most ``token_owners`` owners are told; ``EXAMPLE_OWNERS - 1`` tells all live ones.
+    """
     found = secret_spans(docs, id_col, text_col, repository, owner)
+    told = F.filter("spans", lambda s: (s["kind"] != "token") | (s["owners"] <= token_owners))
+    found = found.withColumn("spans", told)
 
     def count(test) -> Column:
         return F.size(F.filter("spans", test)).cast("long")

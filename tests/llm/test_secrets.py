@@ -6,6 +6,7 @@ import re
 
 from pyspark.sql import functions as F
 
+from tallyvein.llm.queries import op9_secret_scans
 from tallyvein.llm.secrets import redact, secret_report, secret_spans
 
 PATTERNS = [
@@ -68,3 +69,17 @@ def test_long_text(spark):
     docs = spark.createDataFrame([(1, text), (2, "f" * 500_000)], "doc_id long, text string")
     got = {r.doc_id: r.spans for r in secret_report(docs).collect()}
     assert got == {1: "access:1000000:1000020", 2: "hex:0:500000"}
+
+
+def test_token_of_two_owners_is_live(spark, tmp_path):
+    twice, often = "Zx81Qw72Er63Ty54Ui45Op36", "Ab12Cd34Ef56Gh78Ij90Kl21"
+    rows = [(1, f"key {twice} end", "o1"), (2, f"key {twice}", "o2")] + [(10 + i, f"key {often}", f"o{i}") for i in range(3)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    owned = docs, "doc_id", "text", F.col("doc_id"), F.col("source")
+    spans = {r.id: [(s.start, s.end, s.kind, s.owners, s.live) for s in r.spans] for r in secret_spans(*owned).collect()}
+    live = [(4, 28, "token", 2, True)]
+    assert spans == {1: live, 2: live, 10: [], 11: [], 12: []}
+    assert {r.doc_id: r.text for r in redact(*owned).collect()} == {1: "key [secret] end", 2: "key [secret]"} | {10 + i: f"key {often}" for i in range(3)}
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    got = {r.doc_id: (r.spans, r.n_live) for r in op9_secret_scans(spark, str(tmp_path)).collect()}
+    assert got == {1: ("token:4:28", 1), 2: ("token:4:28", 1), 10: ("", 0), 11: ("", 0), 12: ("", 0)}
