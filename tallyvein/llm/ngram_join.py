@@ -133,7 +133,7 @@ def _signed(parts: list[np.ndarray]) -> np.ndarray:
 
 
 def _summaries(width: int, threshold: Fraction):
-    """(id, text) batches to (id, n_shingles, set_id, need, keys); a set met before in the task has no keys."""
+    """(id, text, row_key) batches to (id, row_key, n_shingles, set_id, need, keys); a set met before in the task has no keys."""
 
     def run(batches):
         classes, seen = Classes(threshold), set()
@@ -148,8 +148,8 @@ def _summaries(width: int, threshold: Fraction):
                 keys.append(None if own is None else _signed(own))
                 seen.add(name)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(sizes, pa.int64()), pa.array(names, pa.int64()), pa.array(needs, pa.int32()), pa.array(keys, pa.list_(pa.int64()))],
-                ["id", "n_shingles", "set_id", "need", "keys"],
+                [batch.column(0), batch.column(2), pa.array(sizes, pa.int64()), pa.array(names, pa.int64()), pa.array(needs, pa.int32()), pa.array(keys, pa.list_(pa.int64()))],
+                ["id", "row_key", "n_shingles", "set_id", "need", "keys"],
             )
 
     return run
@@ -173,10 +173,16 @@ def _matches(batches):
 
 
 def _token_sets(width: int):
+    """(set_id, text, need) batches to (set_id, tokens, need); texts of another set than the one asked go."""
+
     def run(batches):
         for batch in batches:
-            sets = [np.sort(t.view(np.int64)) for t in shingle_sets(batch.column(1), width)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.list_(pa.int64())), batch.column(2)], ["set_id", "tokens", "need"])
+            sets, own = [], []
+            for name, tokens in zip(batch.column(0).to_pylist(), shingle_sets(batch.column(1), width)):
+                own.append(len(tokens) > 0 and _set_hash(tokens) == name)
+                sets.append(np.sort(tokens.view(np.int64)) if own[-1] else None)
+            whole = pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.list_(pa.int64())), batch.column(2)], ["set_id", "tokens", "need"])
+            yield whole.filter(pa.array(own, pa.bool_()))
 
     return run
 
@@ -226,7 +232,9 @@ def ngram_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     """
     scratch = Scratch(docs.sparkSession, "ngram-join")
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    keyed = scratch.write(texts.mapInArrow(_summaries(width, threshold), "id long, n_shingles long, set_id long, need int, keys array<long>"), "keyed")
+    # Names a row by its id and text: ids may repeat with other texts or be null.
+    texts = texts.withColumn("row_key", F.xxhash64("id", "text"))
+    keyed = scratch.write(texts.mapInArrow(_summaries(width, threshold), "id long, row_key long, n_shingles long, set_id long, need int, keys array<long>"), "keyed")
     rows = keyed.select(F.explode("keys").alias("key"), "set_id")
     matches = scratch.write(
         rows.repartition("key").sortWithinPartitions("key", "set_id").mapInArrow(_matches, "key long, set_id long, leader long"), "matches"
@@ -236,8 +244,8 @@ def ngram_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     named = summary.where(F.col("set_id").isNotNull())
     wanted = matches.select("set_id").union(matches.select("leader")).distinct()
     # One text stands for each set that has a match.
-    carriers = named.join(wanted, "set_id", "left_semi").groupBy("set_id").agg(F.min("id").alias("id"), F.min("need").alias("need"))
-    carried = texts.join(carriers.where(F.col("id").isNotNull()), "id").select("set_id", "text", "need")
+    carriers = named.join(wanted, "set_id", "left_semi").groupBy("set_id").agg(F.min("row_key").alias("row_key"), F.min("need").alias("need"))
+    carried = texts.join(carriers, "row_key").select("set_id", "text", "need")
     tokens = scratch.write(carried.mapInArrow(_token_sets(width), "set_id long, tokens array<long>, need int").dropDuplicates(["set_id"]), "tokens")
 
     # A family: sets with the same leader of their leaders. Most of a group of copies is similar to it.

@@ -85,3 +85,21 @@ def test_classes_of_very_large_sets():
         classes = Classes(t)
         own = classes.of(3_000_000)
         assert own.low <= 3_000_000 < own.high and classes.differences(2 * (own.high - 1)) < own.ranges
+
+
+def test_repeated_ids_with_other_texts(spark):
+    rng = random.Random(21)
+    rows = [(doc // 6, text) for doc, text in corpus(5, 400)]
+    rng.shuffle(rows)
+    got = ngram_components(spark.createDataFrame(rows, "doc_id long, text string"), "doc_id", "text", 3, Fraction(8, 10)).collect()
+    assert len(got) == len(rows) > len({doc for doc, _ in rows})
+    assert {(r.doc_id, r.n_shingles, r.component_id) for r in got} == brute(rows, 3, Fraction(8, 10))
+
+
+def test_rows_without_id_link(spark):
+    words = [f"w{i}" for i in range(100)]
+    middle = " ".join(words)
+    left, right = " ".join([*words[:-3], "a", "b", "c"]), " ".join(["d", "e", "f", *words[3:]])
+    rows = [(7, left), (None, middle), (9, right), (None, middle.upper()), (None, "apart " * 9), (11, "x y z")]
+    got = ngram_components(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted((r.doc_id or 0, r.n_shingles, r.component_id or 0) for r in got) == [(0, 1, 0), (0, 98, 7), (0, 98, 7), (7, 98, 7), (9, 98, 7), (11, 1, 11)]
