@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tallyvein.llm.bpe import token_digests
 from tallyvein.llm.decontamination import leaks
+from tallyvein.llm.exact_dedup import EXACT_DEDUP_SQL, duplicate_groups, lower_az
 from tallyvein.llm.fingerprints import edited_fingerprints
 from tallyvein.llm.html import extract_main
 from tallyvein.llm.language import fit_languages, identify
@@ -90,3 +91,9 @@ def op8_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
 def op7_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
     found = repeated_strings(table(spark, folder, "documents"))
     return found.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), "kept_sha256")
+
+
+@query(EXACT_DEDUP_SQL)
+def op12_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    return duplicate_groups(docs, carry={"text_sha256": F.sha2(lower_az(F.col("text")).cast("binary"), 256)})
