@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallyvein.llm.alignment import align_corpus
 from tallyvein.llm.bpe import token_digests
 from tallyvein.llm.decontamination import leaks
 from tallyvein.llm.exact_dedup import EXACT_DEDUP_SQL, duplicate_groups, lower_az
@@ -24,6 +25,8 @@ from tallyvein.sources.readers import table
 
 #: Fixed by the query's contract.
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
+BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
+PIECE_BPE = public_tokenizers.path("piece_bpe_32k.model")
 
 
 @query()
@@ -97,3 +100,8 @@ def op7_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
 def op12_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
     return duplicate_groups(docs, carry={"text_sha256": F.sha2(lower_az(F.col("text")).cast("binary"), 256)})
+
+
+@query()
+def op13_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    return align_corpus(table(spark, folder, "documents"), BYTE_BPE, PIECE_BPE)
