@@ -21,6 +21,7 @@ from tallyvein.llm.quality import ACCEPT, Model, fit_quality, quality_scores
 from tallyvein.llm.registry import QUERIES, SQL, query  # noqa: F401
 from tallyvein.llm.secrets import EXAMPLE_OWNERS, secret_report
 from tallyvein.llm.suffix_dedup import repeated_strings
+from tallyvein.llm.whitening import whitened
 from tallyvein.sources.readers import table
 
 #: Fixed by the query's contract.
@@ -105,3 +106,8 @@ def op12_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
 @query()
 def op13_alignment(spark: SparkSession, folder: str) -> DataFrame:
     return align_corpus(table(spark, folder, "documents"), BYTE_BPE, PIECE_BPE)
+
+
+@query()
+def op11_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    return whitened(table(spark, folder, "embeddings"))
