@@ -95,7 +95,7 @@ def scatter(fit: DataFrame, d: int) -> tuple[int, list[int], list[list[int]]]:
 
 
 def primes_below(limit: int, count: int) -> list[int]:
-    """The ``count`` largest odd primes below ``limit`` (at most 2^32), by a test that is exact in that range."""
+    """The ``count`` largest odd primes below ``limit`` (at most 2^31), by a test that is exact in that range."""
 
     def prime(p: int) -> bool:
         odd, twos = p - 1, 0
@@ -116,9 +116,8 @@ def primes_below(limit: int, count: int) -> list[int]:
     out, p = [], limit - 1 | 1
     while len(out) < count:
         p -= 2
-        if p > 3_215_031_751 or not prime(p):
-            continue
-        out.append(p)
+        if prime(p):
+            out.append(p)
     return out
 
 
