@@ -1,17 +1,19 @@
 """Alignment of two tokenizers over the bytes of a corpus.
 
 Both tokenizers cover the same bytes, a space and the text. The tokenizers library gives each token of A a
-range of characters, sentencepiece gives each piece of B a range of bytes. These ranges are coarse: tokens
+range of characters, sentencepiece gives each piece of B a range of bytes. These ranges are coarse cuts: tokens
 that share one character have the same range, byte-fallback pieces have empty ones. Where a range does
 not say where its token ends, the token's own decoded bytes do.
 
 Texts are looked at in segments, cut at each single space between two other characters. No token of
 either vocabulary goes over such a place (``Aligner`` checks the pieces of B), so the segments' tokens in a
-row are the text's. A segment is aligned once per worker and kept in a bounded table.
+row are the text's. A segment is aligned once per worker, many at a time as arrays, and kept in a bounded
+table; a text is then a row of numbers into that table.
 
-Work over the corpus: one pass counts linked id pairs, task by task and then by a shuffle of counts; a
-second pass gives each document its numbers. The frequent pairs travel to it as one array of at most
-``FREQUENT`` entries; a document's links of other pairs leave it as rows and meet their counts in a join.
+Work over the corpus: one pass tokenizes, and writes for each row its numbers and its linked id pairs with
+how often it has them. The pairs are added up, task by task and then by a shuffle of counts. A last pass over the
+written rows looks the counts up: those of the frequent pairs travel as one array of at most ``FREQUENT``
+entries, a row's other pairs leave it as rows and meet their counts in a join.
 """
 
 from __future__ import annotations
@@ -19,9 +21,8 @@ from __future__ import annotations
 import hashlib
 import os
 import re
-from collections import Counter
 from collections.abc import Iterable, Iterator
-from itertools import accumulate
+from itertools import accumulate, chain
 
 import numpy as np
 import pyarrow as pa
@@ -34,12 +35,15 @@ from tallyvein.session import Scratch
 
 #: Most id pairs whose counts are broadcast: 16 MB.
 FREQUENT = 1 << 20
-#: Segments kept by a worker; longer ones than ``KEEP_CHARS`` are aligned anew each time.
-KEEP, KEEP_CHARS = 150_000, 48
-#: Characters of a text, and of a batch of texts, that are split at a time.
+#: A worker's table of segments starts anew when it has so many segments or links.
+KEEP, KEEP_LINKS = 800_000, 8_000_000
+#: Characters that are split at a time: of many short texts, or of a part of a long one.
 STRETCH = 1 << 19
 #: An id pair is one number, id of A times this plus id of B.
 PAIR = 1 << 20
+#: Segments that are encoded together.
+TOGETHER = 4_000
+_EDGE = re.compile(r"^(\s|$)|\s\Z")
 _CUT = re.compile(r"(?<=\S) (?=\S)")
 
 
@@ -62,17 +66,13 @@ def byte_level() -> dict[str, int]:
     return {chr(b): b for b in printable} | {chr(256 + i): b for i, b in enumerate(others)}
 
 
-class Segment:
-    """One segment's tokens: ``groups`` in their written form and the linked id pairs, in order."""
-
-    __slots__ = ("n_a", "n_b", "n_groups", "groups", "pairs")
-
-    def __init__(self, n_a: int, n_b: int, n_groups: int, groups: str, pairs: list[int]):
-        self.n_a, self.n_b, self.n_groups, self.groups, self.pairs = n_a, n_b, n_groups, groups, pairs
-
-
 class Aligner:
-    """Tokenizers A (a byte-level file of the tokenizers library) and B (a sentencepiece model with byte fallback)."""
+    """Tokenizers A (a byte-level file of the tokenizers library) and B (a sentencepiece model with byte fallback).
+
+    The table of segments: ``index`` numbers them, ``groups`` has their groups as written, each with ``;`` behind
+    it, ``sizes`` their tokens of A and of B and their groups, and ``pairs`` their links from ``starts`` on.
+    A segment whose tokens' bytes differ from a space and itself has ``sizes`` of -1.
+    """
 
     def __init__(self, file_a: str, file_b: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -82,7 +82,7 @@ class Aligner:
         self.a.no_padding()
         self.b = sentencepiece.SentencePieceProcessor(model_file=file_b)
         level = byte_level()
-        self.bytes_a: dict[int, bytes] = {}
+        self.bytes_a = [b""] * self.a.get_vocab_size()
         for piece, i in self.a.get_vocab(with_added_tokens=False).items():
             if all(c in level for c in piece):
                 self.bytes_a[i] = bytes(level[c] for c in piece)
@@ -92,74 +92,93 @@ class Aligner:
         self.bytes_b = [
             bytes([int(piece[3:5], 16)]) if self.b.is_byte(i) else piece.replace("▁", " ").encode() for i, piece in enumerate(pieces)
         ]
-        self.young: dict[str, Segment | bytes] = {}
-        self.old: dict[str, Segment | bytes] = {}
-
-    def of(self, wanted: list[str]) -> list[Segment | bytes]:
-        """The alignment of each segment, or B's bytes of it if the tokens' bytes differ from a space and the segment."""
-        if len(self.young) > KEEP:
-            self.old, self.young = self.young, {}
-        young, old, missing = self.young, self.old, {}
-        for word in set(wanted):
-            if word not in young:
-                known = old.get(word)
-                (young if known is not None else missing)[word] = known
-        if missing:
-            words = list(missing)
-            encodings = self.a.encode_batch([" " + word for word in words], add_special_tokens=False)
-            for word, encoding in zip(words, encodings):
-                missing[word] = self._align(word, encoding)
-                if len(word) <= KEEP_CHARS:
-                    young[word] = missing[word]
-        return [young[word] if word in young else missing[word] for word in wanted]
-
-    def _align(self, word: str, encoding) -> Segment | bytes:
-        text = " " + word
-        raw = text.encode()
-        ids_a = encoding.ids
-        pieces = [(p.id, p.begin, p.end) for p in self.b.encode(word, return_type="proto").pieces]
-        ids_b = [p[0] for p in pieces]
-        joined = b"".join(map(self.bytes_b.__getitem__, ids_b))
-        if joined != raw or b"".join(self.bytes_a.get(i, b"") for i in ids_a) != raw:
-            return joined
-        at = range(len(raw) + 1) if len(raw) == len(text) else [0, *accumulate(len(c.encode()) for c in text)]
-        ends_a = _ends([(at[x], at[y]) for x, y in encoding.offsets], [len(self.bytes_a[i]) for i in ids_a])
-        ends_b = _ends([(x + 1, y + 1) for _, x, y in pieces], [len(self.bytes_b[i]) for i in ids_b])
-        return _groups(ids_a, ids_b, ends_a, ends_b)
-
-
-def _ends(ranges: list[tuple[int, int]], lengths: list[int]) -> list[int]:
-    """Where each token ends. A range's end counts if the next range starts there and is not empty; else the token's own bytes do."""
-    out, end = [], 0
-    for i, (start, stop) in enumerate(ranges):
-        clear = stop > max(start, end) and start <= end and (i + 1 == len(ranges) or ranges[i + 1][0] == stop < ranges[i + 1][1])
-        end = stop if clear and stop - end == lengths[i] else end + lengths[i]
-        out.append(end)
-    return out
-
-
-def _groups(ids_a: list[int], ids_b: list[int], ends_a: list[int], ends_b: list[int]) -> Segment:
-    """Walk both token rows: each step is a link, a common end closes a group."""
-    i = j = 0
-    pairs, groups = [], []
-    own_a, own_b = [str(ids_a[0])], [str(ids_b[0])]
-    while True:
-        pairs.append(ids_a[i] * PAIR + ids_b[j])
-        difference = ends_a[i] - ends_b[j]
-        if difference <= 0:
-            i += 1
-        if difference >= 0:
-            j += 1
-        if difference == 0:
-            groups.append(",".join(own_a) + "|" + ",".join(own_b))
-            if i == len(ids_a):
-                break
-            own_a, own_b = [str(ids_a[i])], [str(ids_b[j])]
-        elif difference < 0:
-            own_a.append(str(ids_a[i]))
-        else:
-            own_b.append(str(ids_b[j]))
-    return Segment(len(ids_a), len(ids_b), len(groups), ";".join(groups), pairs)
+        self.lengths_a, self.lengths_b = (np.array([len(x) for x in table], np.int64) for table in (self.bytes_a, self.bytes_b))
+        # A token of A as it is written inside a group and at the end of its side; then those of B.
+        self.written = [f"{i}," for i in range(len(self.bytes_a))] + [f"{i}|" for i in range(len(self.bytes_a))]
+        self.written += [f"{i}," for i in range(len(pieces))] + [f"{i};" for i in range(len(pieces))]
+        self.clear()
+
+    def clear(self) -> None:
+        self.index: dict[str, int] = {}
+        self.groups: list[str] = []
+        self.sizes = np.zeros((0, 3), np.int64)
+        self.starts = np.zeros(1, np.int64)
+        self.pairs = np.zeros(0, np.int64)
+
+    def learn(self, words: Iterable[str]) -> None:
+        """Align the segments that are not in the table yet."""
+        index = self.index
+        new = [word for word in words if word not in index]
+        for first in range(0, len(new), TOGETHER):
+            self._keep(new[first : first + TOGETHER])
+
+    def _keep(self, words: list[str]) -> None:
+        """Add new segments. Those without white space at an edge are encoded as one text, with a space between each two; others, and all where that fails, one by one."""
+        plain = [word for word in words if not _EDGE.search(word)]
+        together = self._align(plain) if plain else None
+        parts, order = ([together], plain) if together else ([], [])
+        single = words if not together else [word for word in words if _EDGE.search(word)]
+        none = [""], np.full((1, 3), -1, np.int64), np.zeros(1, np.int64), np.zeros(0, np.int64)
+        parts += [self._align([word]) or none for word in single]
+        self.index.update(zip([*order, *single], range(len(self.index), len(self.index) + len(words))))
+        self.groups += chain.from_iterable(part[0] for part in parts)
+        self.sizes = np.concatenate([self.sizes, *(part[1] for part in parts)])
+        self.starts = np.concatenate([self.starts, self.starts[-1] + np.cumsum(np.concatenate([part[2] for part in parts]))])
+        self.pairs = np.concatenate([self.pairs, *(part[3] for part in parts)])
+
+    def _align(self, words: list[str]) -> tuple[list[str], np.ndarray, np.ndarray, np.ndarray] | None:
+        """(groups, sizes, links per segment, links) of segments in a row; None if their tokens' bytes differ from a space before each."""
+        text = " ".join(words)
+        raw = (" " + text).encode()
+        encoding = self.a.encode(" " + text, add_special_tokens=False)
+        pieces = [(p.id, p.begin, p.end) for p in self.b.encode(text, return_type="proto").pieces]
+        ids_a, ids_b = encoding.ids, [p[0] for p in pieces]
+        if not b"".join(map(self.bytes_a.__getitem__, ids_a)) == raw == b"".join(map(self.bytes_b.__getitem__, ids_b)):
+            return None
+        lengths = np.array([1 + len(word) if word.isascii() else 1 + len(word.encode()) for word in words], np.int64)
+        bounds = np.concatenate([[0], np.cumsum(lengths)])
+        flat_a, flat_b = np.array(ids_a, np.int64), np.array(ids_b, np.int64)
+        spans_a = np.fromiter(chain.from_iterable(encoding.offsets), np.int64).reshape(-1, 2)
+        spans_b = np.array(pieces, np.int64)[:, 1:]
+        ends_a = _ends(_byte_places(raw)[spans_a], self.lengths_a[flat_a])
+        ends_b = _ends(1 + spans_b, self.lengths_b[flat_b])
+        of_a, of_b = (np.searchsorted(bounds, ends, "left") - 1 for ends in (ends_a, ends_b))
+        n_a, n_b = (np.bincount(of, minlength=len(words)) for of in (of_a, of_b))
+        # Between two neighbouring ends of either side lies exactly one link.
+        ends = np.union1d(ends_a, ends_b)
+        at_a, at_b = np.searchsorted(ends_a, ends), np.searchsorted(ends_b, ends)
+        pairs = flat_a[at_a] * PAIR + flat_b[at_b]
+        counts = np.bincount(of_a[at_a], minlength=len(words))
+        common = np.intersect1d(ends_a, ends_b, assume_unique=True)
+        n_groups = np.bincount(np.searchsorted(bounds, common) - 1, minlength=len(words))
+        # Tokens in order of their groups, those of A first; the last of a side has its own sign behind it.
+        in_a, in_b = np.searchsorted(common, ends_a), np.searchsorted(common, ends_b)
+        last_a, last_b = common[in_a] == ends_a, common[in_b] == ends_b
+        codes_a = flat_a + last_a * len(self.bytes_a)
+        codes_b = flat_b + last_b * len(self.bytes_b) + 2 * len(self.bytes_a)
+        order = np.argsort(np.concatenate([2 * in_a, 2 * in_b + 1]), kind="stable")
+        texts = list(map(self.written.__getitem__, np.concatenate([codes_a, codes_b])[order].tolist()))
+        stops = np.cumsum(n_a + n_b).tolist()
+        groups = ["".join(texts[start:stop]) for start, stop in zip([0, *stops], stops)]
+        return groups, np.stack([n_a, n_b, n_groups], axis=1), counts, pairs
+
+
+def _byte_places(data: bytes) -> np.ndarray:
+    """Where each character of UTF-8 starts, and the end."""
+    values = np.frombuffer(data, np.uint8)
+    return np.append(np.flatnonzero((values & 0xC0) != 0x80), len(values))
+
+
+def _ends(spans: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """Where tokens end, from the byte ranges that a tokenizer gives and the lengths of their decoded bytes.
+
+    A range is a clear cut if it is not empty and the next range is not empty and starts at its end. Other
+    tokens end where their decoded bytes do.
+    """
+    full = spans[:, 1] > spans[:, 0]
+    follows = np.ones(len(spans), bool)
+    follows[:-1] = full[1:] & (spans[1:, 0] == spans[:-1, 1])
+    return np.where(full & follows, spans[:, 1], np.cumsum(lengths))
 
 
 _ALIGNERS: dict[tuple[str, str], Aligner] = {}
@@ -172,64 +191,146 @@ def aligner(file_a: str, file_b: str) -> Aligner:
     return _ALIGNERS[file_a, file_b]
 
 
-def _stretches(both: Aligner, text: str) -> Iterator[tuple[list[str], list[Segment]]]:
-    """A text's segments with their alignments; nothing if its tokens' bytes differ from a space and the text.
+class Aligned:
+    """What is known of a text after some of its stretches."""
 
-    Two walks: the first proves every segment, so that no number of a text without tokens gets out.
-    """
-    if not text or "▁" in text:
-        return
-    for _ in range(2):
-        for words in segments(text):
-            found = both.of(words)
-            if any(type(x) is bytes for x in found):
-                return
-            if _ or len(text) <= STRETCH:
-                yield words, found
-        if len(text) <= STRETCH:
+    def __init__(self):
+        self.good, self.sizes, self.digest, self.parts = True, np.zeros(3, np.int64), hashlib.sha256(), []
+        self.first = True
+
+    def add(self, both: Aligner, words: list[str]) -> None:
+        at = np.fromiter(map(both.index.__getitem__, words), np.int64, len(words))
+        sizes = both.sizes[at]
+        if not self.good or sizes[:, 0].min() < 0:
+            self.good = False
             return
+        self.sizes += sizes.sum(axis=0)
+        text = "".join(map(both.groups.__getitem__, at.tolist()))
+        self.digest.update((text[:-1] if self.first else ";" + text[:-1]).encode())
+        self.first = False
+        starts, counts = both.starts[at], both.starts[at + 1] - both.starts[at]
+        # Links of all segments in a row: each segment's start, and on from there.
+        steps = np.arange(int(counts.sum())) - np.repeat(np.cumsum(counts) - counts, counts)
+        self.parts.append(both.pairs[np.repeat(starts, counts) + steps])
+
+    def row(self) -> tuple:
+        """(n_a, n_b, n_groups, n_links, groups_sha256, pairs, times)."""
+        if not self.good or self.first:
+            return 0, 0, 0, 0, "", [], []
+        links = np.concatenate(self.parts)
+        pairs, times = np.unique(links, return_counts=True)
+        return (*self.sizes.tolist(), len(links), self.digest.hexdigest(), pairs, times)
+
+
+def align_texts(both: Aligner, texts: list[str | None]) -> Iterator[Aligned]:
+    """Texts in turn; segments of many short ones are learned together."""
+    waiting: list[list[list[str]]] = []
+    size = 0
+
+    def flush():
+        both.learn(set(chain.from_iterable(words for parts in waiting for words in parts)))
+        for parts in waiting:
+            out = Aligned()
+            for words in parts:
+                out.add(both, words)
+            yield out
+
+    for text in texts:
+        if text and "▁" not in text and len(text) > STRETCH:
+            yield from flush()
+            waiting, size = [], 0
+            out = Aligned()
+            for words in segments(text):
+                both = _room(both)
+                both.learn(set(words))
+                out.add(both, words)
+                if not out.good:
+                    break
+            yield out
+            continue
+        waiting.append(list(segments(text)) if text and "▁" not in text else [])
+        size += len(text or "")
+        if size > STRETCH:
+            yield from flush()
+            waiting, size = [], 0
+            _room(both)
+    yield from flush()
+
+
+def _room(both: Aligner) -> Aligner:
+    if len(both.index) > KEEP or len(both.pairs) > KEEP_LINKS:
+        both.clear()
+    return both
 
 
 def align_text(both: Aligner, text: str | None) -> tuple[str, list[int]]:
     """(groups as they are written, linked id pairs in order) of one text; both empty without tokens."""
     groups, pairs = [], []
-    for _, found in _stretches(both, text or ""):
-        groups += [x.groups for x in found]
-        pairs += [pair for x in found for pair in x.pairs]
-    return ";".join(groups), pairs
-
-
-def _count_links(batches: Iterable[pa.RecordBatch], file_a: str, file_b: str) -> Iterator[pa.RecordBatch]:
-    both, words = aligner(file_a, file_b), Counter()
-
-    def counts():
-        pairs = Counter()
-        some = list(words)
-        for first in range(0, len(some), 10_000):
-            for word, found in zip(some[first : first + 10_000], both.of(some[first : first + 10_000])):
-                times = words[word]
-                for pair in found.pairs:
-                    pairs[pair] += times
-        words.clear()
-        keys = np.fromiter(pairs.keys(), np.int64, len(pairs))
-        return pa.RecordBatch.from_arrays([pa.array(keys), pa.array(np.fromiter(pairs.values(), np.int64, len(pairs)))], ["pair", "links"])
+    if not text or "▁" in text:
+        return "", []
+    for words in segments(text):
+        both.learn(set(words))
+        at = [both.index[word] for word in words]
+        if any(both.sizes[i, 0] < 0 for i in at):
+            return "", []
+        groups += [both.groups[i] for i in at]
+        pairs += [pair for i in at for pair in both.pairs[both.starts[i] : both.starts[i + 1]].tolist()]
+    return "".join(groups)[:-1], pairs
 
-    for batch in batches:
-        for text in batch.column(1).to_pylist():
-            for some, _ in _stretches(both, text or ""):
-                words.update(some)
-            if len(words) > KEEP:
-                yield counts()
-    if words:
-        yield counts()
 
+_NUMBERS = ("n_a", "n_b", "n_groups", "n_links")
+_LISTS = ("pairs", "times")
 
-def link_counts(docs: DataFrame, file_a: str, file_b: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(pair, id_a, id_b, links): how many links of the corpus hold each linked pair of ids."""
+
+def _tokenize(batches: Iterable[pa.RecordBatch], file_a: str, file_b: str) -> Iterator[pa.RecordBatch]:
+    both = aligner(file_a, file_b)
+    for batch in batches:
+        for first in range(0, batch.num_rows, 512):
+            part = batch.slice(first, 512)
+            rows = [x.row() for x in align_texts(_room(both), part.column(1).to_pylist())]
+            columns = list(zip(*rows))
+            bounds = pa.array([0, *accumulate(len(x) for x in columns[5])], pa.int32())
+            lists = [
+                pa.ListArray.from_arrays(bounds, pa.array(np.concatenate([np.asarray(x, kind) for x in column]) if column else [], pa.from_numpy_dtype(kind)))
+                for column, kind in ((columns[5], np.int64), (columns[6], np.int32))
+            ]
+            arrays = [pa.array(column, pa.int64()) for column in columns[:4]]
+            yield pa.RecordBatch.from_arrays([part.column(0), *arrays, pa.array(columns[4], pa.string()), *lists], ["id", *_NUMBERS, "groups_sha256", *_LISTS])
+
+
+def _add_up(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """This task's counts of pairs; a part leaves early if very many pairs have come together."""
+
+    def fold(parts):
+        pairs, inverse = np.unique(np.concatenate([p for p, _ in parts]), return_inverse=True)
+        return [(pairs, np.bincount(inverse, np.concatenate([n for _, n in parts])).astype(np.int64))]
+
+    parts, size = [], 0
+    for batch in batches:
+        parts.append((batch.column(0).flatten().to_numpy(), batch.column(1).flatten().to_numpy().astype(np.int64)))
+        size += len(parts[-1][0])
+        if size > 1 << 21:
+            parts = fold(parts)
+            size = len(parts[0][0])
+            if size > 1 << 20:
+                yield pa.RecordBatch.from_arrays(list(map(pa.array, parts[0])), ["pair", "links"])
+                parts, size = [], 0
+    if size:
+        yield pa.RecordBatch.from_arrays(list(map(pa.array, fold(parts)[0])), ["pair", "links"])
+
+
+def tokenized(docs: DataFrame, file_a: str, file_b: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Per row: id, n_a, n_b, n_groups, n_links, groups_sha256, and its linked id pairs with how often it has them."""
     rows = docs.select(docs[id_col].alias("id"), docs[text_col].alias("text"))
-    counted = rows.mapInArrow(lambda batches: _count_links(batches, file_a, file_b), "pair long, links long")
-    counted = counted.groupBy("pair").agg(F.sum("links").alias("links"))
-    return counted.withColumns({"id_a": F.floor(F.col("pair") / PAIR), "id_b": F.col("pair") % PAIR}).select("pair", "id_a", "id_b", "links")
+    kind = rows.schema["id"].dataType.simpleString()
+    schema = f"id {kind}, {', '.join(f'{n} long' for n in _NUMBERS)}, groups_sha256 string, pairs array<long>, times array<int>"
+    return rows.mapInArrow(lambda batches: _tokenize(batches, file_a, file_b), schema)
+
+
+def link_counts(rows: DataFrame) -> DataFrame:
+    """(pair, id_b, links): how many links of the corpus hold each linked pair of ids, from tokenized rows."""
+    counted = rows.select(*_LISTS).mapInArrow(_add_up, "pair long, links long")
+    return counted.groupBy("pair").agg(F.sum("links").alias("links")).select("pair", (F.col("pair") % PAIR).alias("id_b"), "links")
 
 
 class _Counts:
@@ -239,53 +340,34 @@ class _Counts:
         order = np.argsort(pairs)
         self.pairs, self.links, self.best = pairs[order], links[order], best
 
-    def sums(self, found: Segment) -> tuple[int, int, list[int]]:
-        """(sum of counts, links with the best count, rare pairs) of a segment."""
-        wanted = np.array(found.pairs, np.int64)
-        if len(self.pairs) == 0:
-            return 0, 0, found.pairs
-        at = np.minimum(np.searchsorted(self.pairs, wanted), len(self.pairs) - 1)
-        known = self.pairs[at] == wanted
-        links = np.where(known, self.links[at], 0)
-        return int(links.sum()), int((known & (links == self.best[wanted % PAIR])).sum()), wanted[~known].tolist()
-
 
-_FIELDS = [("id", None), *[(name, pa.int64()) for name in ("n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum")]]
-_FIELDS += [("groups_sha256", pa.string()), ("rare", pa.list_(pa.struct([("pair", pa.int64()), ("times", pa.int64()), ("best", pa.int64())])))]
+def _row_sums(values: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    sums = np.concatenate([[0], np.cumsum(values, dtype=np.int64)])
+    ends = np.cumsum(sizes)
+    return sums[ends] - sums[ends - sizes]
 
 
-def _describe(batches: Iterable[pa.RecordBatch], file_a: str, file_b: str, counts: _Counts) -> Iterator[pa.RecordBatch]:
-    both = aligner(file_a, file_b)
-    known: dict[str, tuple[int, int, list[int]]] = {}
+def _describe(batches: Iterable[pa.RecordBatch], counts: _Counts) -> Iterator[pa.RecordBatch]:
+    """n_best and count_sum of the frequent pairs, and a row's other pairs as a list."""
     for batch in batches:
-        rows = []
-        for text in batch.column(1).to_pylist():
-            n_a = n_b = n_groups = n_links = n_best = total = 0
-            digest, rare, first = hashlib.sha256(), Counter(), True
-            for words, found in _stretches(both, text or ""):
-                for word, x in zip(words, found):
-                    sums = known.get(word)
-                    if sums is None:
-                        sums = counts.sums(x)
-                        if len(word) <= KEEP_CHARS:
-                            known[word] = sums
-                    n_a += x.n_a
-                    n_b += x.n_b
-                    n_groups += x.n_groups
-                    n_links += len(x.pairs)
-                    total += sums[0]
-                    n_best += sums[1]
-                    if sums[2]:
-                        rare.update(sums[2])
-                digest.update(("" if first else ";").encode() + ";".join([x.groups for x in found]).encode())
-                first = False
-            rows.append((n_a, n_b, n_groups, n_links, n_best, total, "" if first else digest.hexdigest(), rare))
-            if len(known) > KEEP:
-                known.clear()
-        columns = list(zip(*rows)) or [()] * 8
-        lists = [[{"pair": p, "times": n, "best": int(counts.best[p % PAIR])} for p, n in rare.items()] for rare in columns[7]]
-        arrays = [pa.array(column, kind) for column, (_, kind) in zip(columns[:7], _FIELDS[1:8])]
-        yield pa.RecordBatch.from_arrays([batch.column(0), *arrays, pa.array(lists, _FIELDS[8][1])], [name for name, _ in _FIELDS])
+        pairs, times = (batch.column(name).flatten().to_numpy() for name in _LISTS)
+        sizes = np.diff(batch.column("pairs").offsets.to_numpy())
+        row = np.repeat(np.arange(batch.num_rows), sizes)
+        if len(counts.pairs):
+            at = np.minimum(np.searchsorted(counts.pairs, pairs), len(counts.pairs) - 1)
+            known, links = counts.pairs[at] == pairs, counts.links[at]
+        else:
+            known, links = np.zeros(len(pairs), bool), np.zeros(len(pairs), np.int64)
+        links = np.where(known, links, 0)
+        best = counts.best[pairs % PAIR]
+        total, n_best = (_row_sums(values, sizes) for values in (links * times, np.where(known & (links == best), times, 0)))
+        rare = pa.StructArray.from_arrays(
+            [pa.array(pairs[~known]), pa.array(times[~known].astype(np.int64)), pa.array(best[~known])], ["pair", "times", "best"]
+        )
+        bounds = np.concatenate([[0], np.cumsum(np.bincount(row[~known], minlength=batch.num_rows))]).astype(np.int32)
+        kept = [batch.column(name) for name in ("id", *_NUMBERS, "groups_sha256")]
+        out = [*kept, pa.array(n_best), pa.array(total), pa.ListArray.from_arrays(pa.array(bounds), rare)]
+        yield pa.RecordBatch.from_arrays(out, ["id", *_NUMBERS, "groups_sha256", "n_best", "count_sum", "rare"])
 
 
 def align_corpus(
@@ -307,7 +389,10 @@ def align_corpus(
     """
     spark = docs.sparkSession
     scratch = Scratch(spark, "alignment")
-    pairs = scratch.write(link_counts(docs, file_a, file_b, id_col, text_col), "pairs")
+    rows = tokenized(docs, file_a, file_b, id_col, text_col)
+    rows.write.option("compression", "zstd").parquet(scratch.path("rows"))
+    rows = scratch.read("rows", rows.schema)
+    pairs = scratch.write(link_counts(rows), "pairs")
     least = _least_count(pairs, frequent)
     common = pairs.where(F.col("links") >= least).select("pair", "links").toArrow()
     # One row per id of B: bounded by its vocabulary.
@@ -316,11 +401,10 @@ def align_corpus(
     highest[best["id_b"].to_numpy()] = best["links"].to_numpy()
     counts = spark.sparkContext.broadcast(_Counts(common["pair"].to_numpy(), common["links"].to_numpy(), highest))
 
-    rows = docs.select(docs[id_col].alias("id"), docs[text_col].alias("text"))
-    kind = rows.schema["id"].dataType.simpleString()
-    numbers = "n_a long, n_b long, n_groups long, n_links long, n_best long, count_sum long, groups_sha256 string"
-    schema = f"id {kind}, {numbers}, rare array<struct<pair long, times long, best long>>"
-    described = rows.mapInArrow(lambda batches: _describe(batches, file_a, file_b, counts.value), schema)
+    kept = rows.schema.fields[: len(_NUMBERS) + 2]
+    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in kept)
+    schema += ", n_best long, count_sum long, rare array<struct<pair long, times long, best long>>"
+    described = rows.mapInArrow(lambda batches: _describe(batches, counts.value), schema)
     rare = pairs.where(F.col("links") < least).select("pair", "links")
     if not rare.isEmpty():
         described = _with_rare(scratch, described, rare)
@@ -341,7 +425,7 @@ def _least_count(pairs: DataFrame, most: int) -> int:
 
 def _with_rare(scratch: Scratch, described: DataFrame, rare: DataFrame) -> DataFrame:
     """Add what the rare pairs bring to their documents."""
-    rows = scratch.write(described.withColumn("row", F.monotonically_increasing_id()), "rows")
+    rows = scratch.write(described.withColumn("row", F.monotonically_increasing_id()), "described")
     single = rows.select("row", F.explode("rare").alias("of")).select("row", "of.pair", "of.times", "of.best")
     met = single.join(rare, "pair")
     own = met.groupBy("row").agg(
