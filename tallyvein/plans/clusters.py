@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tallyvein.functions import vectors
-from tallyvein.operators import chunked, clustering
+from tallyvein.operators import chunked, clustering, summaries
 from tallyvein.plans.inputs import event_points, r6
 from tallyvein.plans.registry import query
 from tallyvein.session import Scratch
@@ -164,6 +164,50 @@ def merge_gate(spark, folder):
     return out.withColumn("deviation", r6(F.col("deviation")))
 
 
+# Order lines as points of (quantity, discount, tax) in groups by quantity and return flag.
+_FLAGS = ("A", "N", "R")
+_LINE_MOMENTS = f"""l AS (SELECT CAST(l_quantity AS BIGINT) * 10 + CASE l_returnflag {" ".join(f"WHEN '{c}' THEN {i}" for i, c in enumerate(_FLAGS))} END AS c,
+        CAST(l_quantity AS DOUBLE) AS x0, round(CAST(l_discount AS DOUBLE) * 100) AS x1, round(CAST(l_tax AS DOUBLE) * 100) AS x2 FROM lineitem),
+    m AS MATERIALIZED (SELECT c, count(*) AS n, {", ".join(f"sum(x{i}) AS s{i}, sum(x{i} * x{i}) AS q{i}" for i in range(3))} FROM l GROUP BY c)"""
+_UNION = [f"sqrt(greatest((a.q{i} + b.q{i}) / (a.n + b.n) - pow((a.s{i} + b.s{i}) / (a.n + b.n), 2), 0))" for i in range(3)]
+
+
+def _line_summaries(spark, folder):
+    lines = table(spark, folder, "lineitem")
+    flag = F.array_position(F.array(*[F.lit(c) for c in _FLAGS]), F.col("l_returnflag")) - 1
+    features = [F.col("l_quantity").cast("double"), *[F.round(F.col(c).cast("double") * 100) for c in ("l_discount", "l_tax")]]
+    points = lines.select((F.col("l_quantity").cast("int") * 10 + flag).cast("int").alias("cluster_id"), F.array(*features).alias("features"))
+    return Scratch(spark, "line-summaries").write(clustering.cluster_summary(points), "summaries")
+
+
+@query("FLT6 AGG10 CL7", f"""WITH {_LINE_MOMENTS}
+    SELECT CAST(a.c AS INTEGER) AS one, CAST(b.c AS INTEGER) AS other, a.n + b.n AS n,
+        round(sqrt({" + ".join(f"pow(a.s{i} / a.n - b.s{i} / b.n, 2)" for i in range(3))}), 6) AS distance,
+        round(greatest({", ".join(_UNION)}), 6) AS deviation
+    FROM m a JOIN m b ON a.c < b.c WHERE greatest({", ".join(_UNION)}) < 3 * sqrt(3)""")
+def merge_pairs(spark, folder):
+    """All groups of order lines that may be one cluster, found through the grid of their centres."""
+    found = summaries.merge_pairs(_line_summaries(spark, folder))
+    return found.select("one", "other", "n", r6(F.col("distance")).alias("distance"), r6(F.col("deviation")).alias("deviation"))
+
+
+@query("CL7", f"""WITH {_LINE_MOMENTS} SELECT count(*) AS groups, CAST(sum(n) AS BIGINT) AS points, true AS adds_up, CAST(0 AS BIGINT) AS pairs_left,
+    true AS as_in_memory FROM m""")
+def merged_summaries(spark, folder):
+    """Groups merged by rounds of jobs: nothing lost, no pair left that passes, and the same clusters as by arrays in memory."""
+    start = _line_summaries(spark, folder)
+    kept, moves = summaries.merge_summaries(start, local=0)
+    other, other_moves = summaries.merge_summaries(start)
+    left = summaries.merge_pairs(kept).agg(F.count("*").alias("pairs_left"))
+    differ = moves.exceptAll(other_moves).unionByName(other_moves.exceptAll(moves)).agg((F.count("*") == 0).alias("as_in_memory"))
+    before = start.agg(F.count("*").alias("groups"), F.sum("n").alias("points"))
+    after = kept.agg(F.count("*").alias("kept"), F.sum("n").alias("still"))
+    went = moves.agg(F.count("*").alias("went"))
+    joined = before.join(F.broadcast(after)).join(F.broadcast(went)).join(F.broadcast(left)).join(F.broadcast(differ))  # one row each
+    adds_up = (F.col("points") == F.col("still")) & (F.col("groups") == F.col("kept") + F.col("went"))
+    return joined.select("groups", "points", adds_up.alias("adds_up"), "pairs_left", "as_in_memory")
+
+
 # Clusters of the event points: the types of the events, settled ones first.
 _DS, _CS = ("click", "purchase", "view"), ("error", "signup")
 _EVENT_POINTS = """e AS MATERIALIZED (SELECT event_id AS id, event_type, value AS x0,

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from tallyvein.functions.hashing import PRIME, hash_parameters
 from tallyvein.functions.ranking import with_top_counts
-from tallyvein.operators import distinct, membership, sampling
+from tallyvein.operators import distinct, membership, sampling, sketches
 from tallyvein.plans import inputs
 from tallyvein.plans.inputs import r6
 from tallyvein.plans.registry import MESSAGES, key_sql, query, rank_sql
@@ -15,7 +15,8 @@ from tallyvein.sources import sinks
 from tallyvein.sources.readers import table
 from tallyvein.streaming.reservoir import reports, start_trending
 from tallyvein.streaming.sources import json_stream, table_stream
-from tallyvein.streaming.windows import start_window_estimates
+from tallyvein.streaming.stateful import start_stateful_trending
+from tallyvein.streaming.windows import start_window_estimates, start_window_sketches
 
 K = 5
 BITS = membership.WORD_BITS
@@ -161,32 +162,41 @@ def fm_windows_within_limit(spark, folder):
 FILES = 4
 
 
+def _slice(df, ts, start, stop):
+    """Rows from one stamp, if given, to before another."""
+    if start is not None:
+        df = df.where(F.col(ts) >= F.lit(start).cast("timestamp_ntz"))
+    if stop is not None:
+        df = df.where(F.col(ts) < F.lit(stop).cast("timestamp_ntz"))
+    return df
+
+
 def _in_slices(df, ts, scratch, name, slices, form="parquet"):
     """Write rows as slices that a stream reads one after the other, in time order."""
     for i, (start, stop) in enumerate(zip(slices, slices[1:])):
-        part = df
-        if start is not None:
-            part = part.where(F.col(ts) >= F.lit(start).cast("timestamp_ntz"))
-        if stop is not None:
-            part = part.where(F.col(ts) < F.lit(stop).cast("timestamp_ntz"))
-        part.repartition(FILES).write.format(form).save(scratch.path(f"{name}/slice={i}"))
+        _slice(df, ts, start, stop).repartition(FILES).write.format(form).save(scratch.path(f"{name}/slice={i}"))
     return scratch.path(name)
 
 
 SLICES = [None, "2024-01-11", "2024-01-21", None]
 
 
-@query("SRC8 STR1 STR2 STR3 STR4 SNK2", f"""SELECT window_start + {DAY} AS window_end, truth, estimate
-    FROM ({_WINDOW_TRUTH}) JOIN ({_WINDOW_ESTIMATES}) USING (window_start)""")
-def stream_window_estimates(spark, folder):
-    """Events arrive in three slices and one late row that closes the last windows."""
-    scratch = Scratch(spark, "window-stream")
+def _event_stream(spark, folder, scratch):
+    """(stream, events): all events as JSON in three slices, and one late row that closes the last windows."""
     events = table(spark, folder, "events").select("event_id", "ts", "user_id")
     last = events.agg(
         F.max("event_id").alias("event_id"), (F.max("ts") + F.expr("INTERVAL 30 DAYS")).alias("ts"), F.max("user_id").alias("user_id")
     )
     _in_slices(events.unionByName(last), "ts", scratch, "in", SLICES, "json")
-    stream = json_stream(spark, scratch.path("in"), events.schema, FILES)
+    return json_stream(spark, scratch.path("in"), events.schema, FILES), events
+
+
+@query("SRC8 STR1 STR2 STR3 STR4 SNK2", f"""SELECT window_start + {DAY} AS window_end, truth, estimate
+    FROM ({_WINDOW_TRUTH}) JOIN ({_WINDOW_ESTIMATES}) USING (window_start)""")
+def stream_window_estimates(spark, folder):
+    """Events arrive in three slices and one late row that closes the last windows."""
+    scratch = Scratch(spark, "window-stream")
+    stream, _ = _event_stream(spark, folder, scratch)
     start_window_estimates(
         stream, "ts", "user_id", scratch.path("out"), scratch.path("checkpoint"), "1 day", "6 hours", "1 hour",
         HASHES, GROUPS, HASH_BITS, trigger={"availableNow": True}, state_partitions=spark.sparkContext.defaultParallelism,
@@ -196,6 +206,43 @@ def stream_window_estimates(spark, folder):
     return written.select(*[F.col(h).alias(c) for h, c in zip(sinks.WINDOW_HEADER, ("window_end", "truth", "estimate"))])
 
 
+def _sketched(store_sql: str) -> str:
+    return f"SELECT window_start, truth, true AS within_bound{store_sql} FROM ({_WINDOW_TRUTH})"
+
+
+@query("SK5 AGG11", _sketched(", true AS as_in_one_pass"))
+def window_sketches(spark, folder):
+    """Pane sketches of three runs, stored, reloaded, compacted and merged into windows, beside exact counts and sketches of one pass."""
+    scratch = Scratch(spark, "sketch-store")
+    events = table(spark, folder, "events").select("ts", "user_id")
+    store = sketches.SketchStore(spark, scratch.path("runs"), "pane bigint")
+    for i, (start, stop) in enumerate(zip(SLICES, SLICES[1:])):
+        store.write(i, sketches.pane_sketches(_slice(events, "ts", start, stop), "ts", "user_id", PANE))
+    kept = store.compact(scratch.path("compacted"))
+    merged = sketches.windows_of_panes(kept.read(), DAY, PANE).select("window_start", sketches.estimated("sketch").alias("estimate"))
+    starts = distinct.window_starts(distinct.pane_start(F.col("ts"), PANE), DAY, PANE)
+    whole = sketches.sketch_values(events.select(F.explode(starts).alias("window_start"), "user_id"), "user_id", ["window_start"])
+    whole = sketches.merge_sketches(whole, ["window_start"]).select("window_start", sketches.estimated("sketch").alias("whole"))
+    truth = distinct.window_distinct(events, "ts", "user_id", DAY, PANE)
+    found = sketches.coverage_report(merged, truth, ["window_start"]).join(whole, "window_start")
+    return found.select("window_start", "truth", "within_bound", (F.col("estimate") == F.col("whole")).alias("as_in_one_pass"))
+
+
+@query("STR3 SK5", _sketched(""))
+def stream_window_sketches(spark, folder):
+    """The same windows from a stream whose state holds sketches only, beside exact counts of the batch."""
+    scratch = Scratch(spark, "sketch-stream")
+    stream, events = _event_stream(spark, folder, scratch)
+    store = sketches.SketchStore(spark, scratch.path("out"), "window_start bigint")
+    start_window_sketches(
+        stream, "ts", "user_id", store, scratch.path("checkpoint"), "1 day", "6 hours", "1 hour",
+        trigger={"availableNow": True}, state_partitions=spark.sparkContext.defaultParallelism,
+    ).awaitTermination()
+    found = store.read().select("window_start", sketches.estimated("sketch").alias("estimate"))
+    truth = distinct.window_distinct(events, "ts", "user_id", DAY, PANE)
+    return sketches.coverage_report(found, truth, ["window_start"]).select("window_start", "truth", "within_bound")
+
+
 _TAGS = "(SELECT unnest(regexp_extract_all(text, '#([a-zA-Z0-9_]+)', 1)) AS tag FROM {messages})"
 _TRENDING = """SELECT tag, cnt FROM (SELECT tag, cnt, dense_rank() OVER (ORDER BY cnt DESC) AS r FROM
     (SELECT tag, count(*) AS cnt FROM {tags} GROUP BY tag)) WHERE r <= 3"""
@@ -228,10 +275,28 @@ def _slice_sql(batch_id: int, stop: str | None) -> str:
     return f"SELECT {batch_id} AS batch_id, (SELECT count(*) FROM {seen}) AS n_seen, tag, cnt FROM ({_TRENDING.format(tags=_TAGS.format(messages=sample))})"
 
 
-@query("STR5 STR7 SNK3", " UNION ALL ".join(_slice_sql(i, stop) for i, stop in enumerate(SLICES[1:])))
+def _message_stream(spark, folder, scratch):
+    rows = inputs.messages(spark, folder).withColumnRenamed("event_id", "id")
+    return table_stream(spark, _in_slices(rows, "ts", scratch, "in", SLICES), rows.schema, FILES).drop("ts")
+
+
+_TRENDING_BY_BATCH = " UNION ALL ".join(_slice_sql(i, stop) for i, stop in enumerate(SLICES[1:]))
+
+
+@query("STR5 STR7", _TRENDING_BY_BATCH)
+def stream_trending_stateful(spark, folder):
+    """The sample as keyed state of the stream."""
+    scratch = Scratch(spark, "stateful-stream")
+    stream = _message_stream(spark, folder, scratch)
+    start_stateful_trending(
+        stream, scratch.path("out"), scratch.path("checkpoint"), shards=2 * spark.sparkContext.defaultParallelism, trigger={"availableNow": True}
+    ).awaitTermination()
+    return reports(spark, scratch.path("out"))
+
+
+@query("STR5 STR7 SNK3", _TRENDING_BY_BATCH)
 def stream_trending(spark, folder):
     scratch = Scratch(spark, "trending-stream")
-    rows = inputs.messages(spark, folder).withColumnRenamed("event_id", "id")
-    stream = table_stream(spark, _in_slices(rows, "ts", scratch, "in", SLICES), rows.schema, FILES).drop("ts")
+    stream = _message_stream(spark, folder, scratch)
     start_trending(stream, scratch.path("out"), scratch.path("checkpoint"), trigger={"availableNow": True}).awaitTermination()
     return reports(spark, scratch.path("out"))

@@ -32,10 +32,16 @@ def merge_batch(batch: DataFrame, folder: str, batch_id: int, n: int = 100, seed
         tagged.unpersist()
     spark.createDataFrame([(seen,)], "n_seen bigint").coalesce(1).write.mode("overwrite").parquet(f"{state}/seen")
     sample = spark.read.schema(tagged.schema).parquet(f"{state}/sample")
-    tags = trending_tags(sample, "text", top)
-    report = tags.select(F.lit(seen).cast("bigint").alias("n_seen"), "tag", "cnt")
-    if sample.isEmpty():
-        report = spark.createDataFrame([(seen, None, None)], "n_seen bigint, tag string, cnt bigint")
+    write_report(sample.withColumn("n_seen", F.lit(seen).cast("bigint")), folder, batch_id, top, seen)
+
+
+def write_report(sample: DataFrame, folder: str, batch_id: int, top: int = 3, seen: int | None = None) -> None:
+    """Write the top tags of a sample of (n_seen, text) rows; ``seen`` is given where the sample may have no row."""
+    if seen is None:
+        seen = sample.agg(F.coalesce(F.max("n_seen"), F.lit(0))).first()[0]
+    report = trending_tags(sample.where(F.col("text").isNotNull()), "text", top).select(F.lit(seen).cast("bigint").alias("n_seen"), "tag", "cnt")
+    if report.isEmpty():
+        report = sample.sparkSession.createDataFrame([(seen, None, None)], "n_seen bigint, tag string, cnt bigint")
     report.coalesce(1).write.mode("overwrite").parquet(f"{folder}/report/batch_id={batch_id}")
 
 

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tallyvein.functions.hashing import lowest_bit
 from tallyvein.operators.distinct import HASH_BITS, fm_estimate, hash_rows, with_error_gate, with_keys
+from tallyvein.operators.sketches import LG_K, SketchStore
 from tallyvein.sources.sinks import write_window_estimates
 
 
@@ -65,13 +66,51 @@ def start_window_estimates(
         .trigger(**(trigger or {"processingTime": "5 seconds"}))
         .foreachBatch(write)
     )
+    return _start(writer, events.sparkSession, state_partitions)
+
+
+def sketch_panes(events: DataFrame, ts: str, col: str, slide: str, lateness: str, lg_k: int = LG_K) -> DataFrame:
+    """(window, sketch) per closed pane of a stream: the state holds one sketch per open pane, whatever the rows."""
+    stamped = events.select(F.col(ts).cast("timestamp").alias("ts"), F.col(col).cast("string").alias("value")).withWatermark("ts", lateness)
+    return stamped.groupBy(F.window("ts", slide)).agg(F.hll_sketch_agg("value", F.lit(lg_k)).alias("sketch"))
+
+
+def sketch_windows(events: DataFrame, ts: str, col: str, window: str, slide: str, lateness: str, lg_k: int = LG_K) -> DataFrame:
+    """(window, sketch) per closed sliding window, merged in a second aggregate from the closed panes."""
+    panes = sketch_panes(events, ts, col, slide, lateness, lg_k)
+    return panes.groupBy(F.window("window", window, slide).alias("window")).agg(F.hll_union_agg("sketch").alias("sketch"))
+
+
+def start_window_sketches(
+    events: DataFrame, ts: str, col: str, store: SketchStore, checkpoint: str, window: str = "30 seconds", slide: str = "10 seconds",
+    lateness: str = "5 seconds", trigger: dict | None = None, state_partitions: int | None = None,
+) -> StreamingQuery:
+    """Put the sketch of every closed window into a store keyed by ``window_start``, a part per micro-batch.
+
+    The exact count of a window needs every value in the state; this needs two sketches per window and
+    pane. A batch that is run again replaces its own part.
+    """
+    sketches = sketch_windows(events, ts, col, window, slide, lateness, store.lg_k)
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        store.write(batch_id, batch.select(F.col("window.start").cast("bigint").alias("window_start"), "sketch"))
+
+    writer = (
+        sketches.writeStream.outputMode("append")
+        .option("checkpointLocation", checkpoint)
+        .trigger(**(trigger or {"processingTime": "5 seconds"}))
+        .foreachBatch(write)
+    )
+    return _start(writer, events.sparkSession, state_partitions)
+
+
+def _start(writer, spark: SparkSession, state_partitions: int | None) -> StreamingQuery:
+    """Start a query; it takes the settings of its session at this moment."""
     if state_partitions is None:
         return writer.start()
-    # A query takes the settings of its session when it starts.
-    conf = events.sparkSession.conf
-    usual = conf.get("spark.sql.shuffle.partitions")
-    conf.set("spark.sql.shuffle.partitions", str(state_partitions))
+    usual = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", str(state_partitions))
     try:
         return writer.start()
     finally:
-        conf.set("spark.sql.shuffle.partitions", usual)
+        spark.conf.set("spark.sql.shuffle.partitions", usual)

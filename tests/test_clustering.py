@@ -1,5 +1,7 @@
 """k-means and chunk-by-chunk clustering against plain arithmetic and their invariants."""
 
+import itertools
+
 import numpy as np
 import pyarrow as pa
 import pytest
@@ -7,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tallyvein.functions import vectors
 from tallyvein.functions.vectors import gate
-from tallyvein.operators import chunked, clustering
+from tallyvein.operators import chunked, clustering, summaries
 from tallyvein.session import Scratch
 
 
@@ -175,3 +177,75 @@ def test_finishing_leaves_the_rounds_alone(spark):
     state = chunked.start_chunks(points, 3, folder)
     chunked.finish_chunks(spark, state)
     assert chunked.load_state(spark, folder, 1).to_json() == state.to_json()
+
+
+def random_summaries(count, dims, seed, spread=60.0):
+    rng = np.random.default_rng(seed)
+    n = rng.integers(2, 400, count)
+    centres, deviations = rng.uniform(-spread, spread, (count, dims)), rng.uniform(0, 3, (count, dims))
+    return [(i, int(k), (c * k).tolist(), ((s**2 + c**2) * k).tolist()) for i, (k, c, s) in enumerate(zip(n, centres, deviations))]
+
+
+def summary_frame(spark, rows):
+    return spark.createDataFrame(rows, summaries.SUMMARIES).repartition(3)
+
+
+def brute_pairs(rows):
+    made = [chunked.Summary(i, n, np.array(s), np.array(q)) for i, n, s, q in rows]
+    return {(a.cluster_id, b.cluster_id) for a, b in itertools.combinations(made, 2) if chunked.may_merge(a, b)}
+
+
+@pytest.mark.parametrize("dims,count", [(1, 60), (2, 80), (5, 60)])
+def test_merge_pairs_are_all_that_pass(spark, dims, count):
+    rows = random_summaries(count, dims, dims)
+    # Sizes far apart: a small cluster may pass with a large one from far away.
+    rows += [(1000 + i, 200_000 * (i + 1), [c * 200_000.0 * (i + 1)] * dims, [(c * c + 0.5) * 200_000.0 * (i + 1)] * dims) for i, c in enumerate((0.0, 45.0))]
+    found = {(r.one, r.other) for r in summaries.merge_pairs(summary_frame(spark, rows)).collect()}
+    assert found == brute_pairs(rows) and found
+
+
+def test_merging_by_jobs_equals_merging_in_memory(spark):
+    rows = random_summaries(120, 2, 7)
+    frame = summary_frame(spark, rows)
+    answers = []
+    for local in (0, 40, 1000):
+        merged, moves = summaries.merge_summaries(frame, local)
+        answers.append((sorted((r.cluster_id, r.n, [round(v, 6) for v in r["sum"]]) for r in merged.collect()), sorted(map(tuple, moves.collect()))))
+    assert answers[0] == answers[1] == answers[2]
+    kept, gone = answers[0]
+    assert sum(k[1] for k in kept) == sum(r[1] for r in rows) and len(kept) + len(gone) == 120 and gone
+    assert {into for _, into in gone} <= {k[0] for k in kept}
+    merged, _ = summaries.merge_summaries(frame)
+    assert summaries.merge_pairs(merged).isEmpty()
+
+
+def test_merging_nothing(spark):
+    for rows in ([], random_summaries(1, 3, 1)):
+        merged, moves = summaries.merge_summaries(spark.createDataFrame(rows, summaries.SUMMARIES), 0)
+        assert merged.count() == len(rows) and moves.count() == 0
+
+
+def test_placing_by_grid_equals_placing_by_broadcast(spark):
+    rng = np.random.default_rng(5)
+    rows = random_summaries(90, 3, 11)
+    rows[4] = (4, 10, [10.0, 0.0, 0.0], [10.0, 0.0, 0.0])  # no spread
+    points = points_of(spark, [(i, p.tolist()) for i, p in enumerate(rng.uniform(-70, 70, (400, 3)))])
+    ds = [chunked.Summary(500, 100, np.array([100.0, 0.0, 0.0]), np.array([2500.0, 2500.0, 2500.0]))]
+    cs = summary_frame(spark, rows)
+    some, many = (
+        sorted((r.point_id, r.set_kind, r.cluster_id, r.distance and round(r.distance, 9)) for r in chunked.place_points(points, ds, cs, 90, most).collect())
+        for most in (90, 10)
+    )
+    assert some == many and {k for _, k, _, _ in some} == {"DS", "CS", "RS"}
+
+
+def test_merging_into_ds_takes_the_nearest_that_passes(spark):
+    ds = [chunked.Summary(i, 10, np.array([c * 10.0]), np.array([c * c * 10.0])) for i, c in enumerate((0.0, 8.0))]
+    rows = [(10, 10, [30.0], [90.0]), (11, 10, [60.0], [360.0]), (12, 10, [1000.0], [100_000.0])]
+    assert {r.cluster_id: r.into for r in chunked.merged_into(summary_frame(spark, rows), ds).collect()} == {10: 0, 11: 1, 12: None}
+
+
+def test_chains_of_moves_lead_to_their_end(spark):
+    rows = [(i, i - 1) for i in range(1, 40)] + [(100, 50)]
+    found = summaries.resolve(Scratch(spark, "test-chains"), spark.createDataFrame(rows, summaries.MOVES))
+    assert sorted(map(tuple, found.collect())) == [(i, 0) for i in range(1, 40)] + [(100, 50)]

@@ -9,7 +9,8 @@ from tallyvein.functions.grouping import group_values
 from tallyvein.functions.hashing import hash_parameters, linear_hash, string_key, trailing_zeros
 from tallyvein.functions.ranking import positions, with_top_counts
 from tallyvein.functions.text import epoch_seconds, list_length, tags, tokens
-from tallyvein.operators import distinct, membership, sampling
+from tallyvein.operators import distinct, membership, sampling, sketches
+from tallyvein.session import Scratch
 
 
 def names(spark, start, stop):
@@ -178,3 +179,47 @@ def test_one_value_repeated_is_spread(spark):
 def test_estimates_do_not_saturate(spark, n, seed):
     df = spark.range(n).select(F.concat(F.lit("v"), "id").alias("v"))
     assert abs(distinct.fm_distinct(df, "v", seed=seed).first()["estimate"] - n) / n < 0.4
+
+
+def test_stored_sketches_merge_to_one_pass(spark):
+    """Overlapping parts, a part written twice, a compacted store: the estimate is that of all rows at once."""
+    rows = spark.range(0, 60_000).select((F.col("id") % 3).cast("int").alias("g"), (F.col("id") * 7 % 20_011).alias("v"))
+    store = sketches.SketchStore(spark, Scratch(spark, "test-store").path("runs"), "g int")
+    parts = [rows.where("v < 9000"), rows.where("v BETWEEN 5000 AND 15000"), rows.where("v > 14000")]
+    for i, part in enumerate(parts):
+        store.write(i, sketches.sketch_values(part, "v", ["g"]))
+    store.write(1, sketches.sketch_values(parts[1], "v", ["g"]))
+    kept = store.compact(Scratch(spark, "test-store").path("one"))
+    whole = sketches.merge_sketches(sketches.sketch_values(rows, "v", ["g"]), ["g"])
+
+    def answers(df):
+        return sorted(tuple(r) for r in df.select("g", sketches.estimated("sketch")).collect())
+
+    assert answers(store.read()) == answers(kept.read()) == answers(whole)
+    kept.write("again", sketches.sketch_values(parts[0], "v", ["g"]))
+    assert answers(kept.read()) == answers(whole)
+    truth = rows.distinct().groupBy("g").agg(F.count("*").alias("truth"))
+    found = sketches.coverage_report(whole.select("g", sketches.estimated("sketch").alias("estimate")), truth, ["g"])
+    assert all(r.within_bound and r.relative_error < 0.08 for r in found.collect()) and found.count() == 3
+
+
+def test_sketch_bound_is_that_of_the_registers(spark):
+    """Many groups of one size: the spread of the estimates is the stated deviation."""
+    rows = spark.range(0, 400 * 3000).select((F.col("id") % 400).alias("g"), F.col("id").alias("v"))
+    for lg_k in (8, 12):
+        found = sketches.merge_sketches(sketches.sketch_values(rows, "v", ["g"], lg_k), ["g"])
+        off = [(r[0] - 3000) / 3000 for r in found.select(sketches.estimated("sketch")).collect()]
+        deviation = (sum(x * x for x in off) / len(off)) ** 0.5
+        assert 0.5 < deviation / sketches.relative_deviation(lg_k) < 1.5
+
+
+def test_windows_from_panes_and_missing_values(spark):
+    events = spark.createDataFrame(
+        [("2020-01-01 00:00:05", "a"), ("2020-01-01 00:00:15", "b"), ("2020-01-01 00:00:15", None), ("2020-01-01 00:00:25", "a"), (None, "z")],
+        "ts string, v string",
+    ).withColumn("ts", F.col("ts").cast("timestamp"))
+    panes = sketches.pane_sketches(events, "ts", "v", 10)
+    found = sketches.windows_of_panes(panes, 30, 10).select("window_start", "window_end", sketches.estimated("sketch"))
+    base = 1577836800
+    assert sorted(tuple(r) for r in found.collect()) == [(base + s, base + s + 30, n) for s, n in ((-20, 1), (-10, 2), (0, 2), (10, 2), (20, 1))]
+    assert sketches.pane_sketches(events.limit(0), "ts", "v", 10).count() == 0

@@ -4,11 +4,13 @@ import pytest
 from pyspark.sql import functions as F
 
 from tallyvein.operators.sampling import fixed_sample, trending_tags
+from tallyvein.operators.sketches import SketchStore, estimated, pane_sketches, windows_of_panes
 from tallyvein.session import Scratch
 from tallyvein.sources.readers import tagged_messages
-from tallyvein.streaming.reservoir import merge_batch, report_lines, reports, start_trending
+from tallyvein.streaming.reservoir import merge_batch, report_lines, reports, start_trending, write_report
 from tallyvein.streaming.sources import json_stream, parse_json, table_stream
-from tallyvein.streaming.windows import start_window_estimates
+from tallyvein.streaming.stateful import start_stateful_trending
+from tallyvein.streaming.windows import start_window_estimates, start_window_sketches
 
 NOW = {"availableNow": True}
 
@@ -77,3 +79,46 @@ def test_json_column_and_message_filter(spark):
     raw = spark.createDataFrame([(bytearray(b'{"text": "a #b", "lang": "en"}'),), (bytearray(b'{"text": "plain", "lang": "en"}'),)], "value binary")
     parsed = parse_json(raw, "text string, lang string")
     assert [r["text"] for r in tagged_messages(parsed).collect()] == ["a #b"]
+
+
+def test_stateful_sample_is_the_sample_of_all_and_goes_on_after_a_stop(spark):
+    """Three starts of one stream, each with a further folder: reports are those of the batch sample."""
+    scratch = Scratch(spark, "test-stateful")
+    parts = [(0, 300), (300, 310), (310, 900)]
+    schema = messages(spark, 0, 1).schema
+    for i, (a, b) in enumerate(parts):
+        messages(spark, a, b).repartition(3).write.parquet(scratch.path(f"in/part={i}"))
+        stream = table_stream(spark, scratch.path("in"), schema)
+        start_stateful_trending(stream, scratch.path("out"), scratch.path("checkpoint"), n=50, shards=5, trigger=NOW).awaitTermination()
+    found = reports(spark, scratch.path("out")).collect()
+    for i, (_, b) in enumerate(parts):
+        whole = fixed_sample(messages(spark, 0, b).where("text != 'nothing'"), "id", 50)
+        expected = sorted((b - b // 5 - (b % 5 > 0), *r) for r in trending_tags(whole).collect())
+        assert sorted((r.n_seen, r.tag, r.cnt) for r in found if r.batch_id == i) == expected
+
+
+def test_stateful_report_can_be_written_again(spark):
+    folder = Scratch(spark, "test-report-again").base
+    rows = spark.createDataFrame([(0, 7, 1, "#a #b"), (0, 7, 2, "#a")], "update_no long, n_seen long, id long, text string")
+    for _ in range(2):
+        write_report(rows, folder, 0)
+    assert sorted(tuple(r) for r in reports(spark, folder).collect()) == [(0, 7, "a", 2), (0, 7, "b", 1)]
+    write_report(rows.select("update_no", "n_seen", F.lit(None).cast("long").alias("id"), F.lit(None).cast("string").alias("text")), folder, 1)
+    assert [tuple(r) for r in reports(spark, folder).where("batch_id = 1").collect()] == [(1, 7, None, None)]
+
+
+def test_sketches_of_a_stream_are_those_of_the_batch(spark):
+    scratch = Scratch(spark, "test-sketch-stream")
+    rows = spark.range(0, 3000).select(
+        F.timestamp_seconds(F.lit(1_577_836_800) + F.col("id") % 120).alias("ts"), (F.col("id") % 700).cast("string").alias("who")
+    )
+    late = spark.createDataFrame([("2020-01-02 00:00:00", "late")], "ts string, who string").select(F.col("ts").cast("timestamp"), "who")
+    rows.unionByName(late).repartition(4).write.parquet(scratch.path("in/part=0"))
+    store = SketchStore(spark, scratch.path("out"), "window_start bigint")
+    stream = table_stream(spark, scratch.path("in"), rows.schema)
+    start_window_sketches(stream, "ts", "who", store, scratch.path("checkpoint"), trigger=NOW).awaitTermination()
+    panes = pane_sketches(rows, "ts", "who", 10)
+    # The window of the last, late row stays open.
+    expected = windows_of_panes(panes, 30, 10).where("window_start < 1577836800 + 120").select("window_start", estimated("sketch"))
+    found = store.read().select("window_start", estimated("sketch"))
+    assert sorted(map(tuple, found.collect())) == sorted(map(tuple, expected.collect())) and expected.count() == 14
