@@ -9,14 +9,18 @@ Two exact ways lead to the same pairs, and the measured degrees of the items cho
   the join. Users with equal sets are compared once. A small bitmap per set rules out most of the
   joined pairs, and the rest are checked on the whole sets.
 
-Users with more items than fit a row are joined item by item and counted, so no set is cut short.
+Users with more items than fit a row are compared in groups as bitmaps, part of the items by part, so no
+set is cut short and no pair that fails is shuffled.
 """
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyvein.functions.hashing import power_of_two
@@ -166,7 +170,7 @@ def _prefix(scratch: Scratch, rows: DataFrame, degrees: DataFrame, sizes: DataFr
     pairs = _prefix_pairs(unique, rule, popular)
     out = _to_users(pairs, sets, unique, rule)
     if has_large:
-        out = out.unionByName(_large_pairs(rows, sizes, large, rule))
+        out = out.unionByName(_large_pairs(scratch, rows, sizes, large, rule))
     return out
 
 
@@ -232,19 +236,126 @@ def _to_users(pairs: DataFrame, sets: DataFrame, unique: DataFrame, rule: Rule)
     return _oriented(out.select("u", "v", "overlap", "n", "m").unionByName(inside))
 
 
-def _large_pairs(rows: DataFrame, sizes: DataFrame, large: DataFrame, rule: Rule) -> DataFrame:
-    """Pairs with at least one user whose items do not fit a row, counted item by item."""
-    big = rows.join(large.select("user"), "user", "left_semi").select("user", "item")
+def _large_pairs(scratch: Scratch, rows: DataFrame, sizes: DataFrame, large: DataFrame, rule: Rule) -> DataFrame:
+    """Pairs with at least one user whose items do not fit a row.
+
+    Large users stand in groups of about ``LARGE_GROUP``, all that they may match in groups of about
+    ``OTHER_GROUP``. A pair of groups meets in one task, which takes their items part by part, by a hash of
+    the item: users become packed bitmaps over the items of the part, and common items are counted bit by
+    bit into one small table per pair of groups. The rule is applied there, so only pairs that pass leave.
+    """
     least = rule.overlap if rule.overlap is not None else 1
-    if rule.jaccard is not None:
-        floor = large.agg(F.min("size")).scalar()
-        fit = sizes.where((F.col("size") >= least) & (F.col("size") >= floor * rule.jaccard - SLACK))
-    else:
-        fit = sizes.where(F.col("size") >= least)
-    marked = fit.join(large.select("user", F.lit(True).alias("is_large")), "user", "left")
-    others = rows.join(marked, "user").select("user", "item", F.coalesce("is_large", F.lit(False)).alias("is_large"))
-    keep = (F.col("u") != F.col("v")) & (~F.col("is_large") | (F.col("u") < F.col("v")))
-    return _sized(_common_items(big, others, keep), sizes, rule)
+    floor = large.agg(F.min("size")).first()[0]
+    fit = F.col("size") >= max(least, math.ceil(floor * rule.jaccard - SLACK) if rule.jaccard is not None else 1)
+    others = sizes.where(fit).join(large.select("user", F.lit(True).alias("is_large")), "user", "left")
+    large_users, n_large = _grouped(scratch, "large-users", large, LARGE_GROUP)
+    other_users, n_others = _grouped(scratch, "other-users", others, OTHER_GROUP)
+    total = sum(users.agg(F.sum("size")).first()[0] / n for users, n in ((large_users, n_large), (other_users, n_others)))
+    part = F.pmod(F.xxhash64("item"), F.lit(math.ceil(total / PART_ROWS))).cast("int")
+
+    def side(users: DataFrame, own: str, other: str, groups: int, first: bool) -> DataFrame:
+        member = rows.join(users.select("user", F.col("group").alias(own), "at", "size"), "user")
+        spread = member.withColumn(other, F.explode(F.sequence(F.lit(0), F.lit(groups - 1))))
+        return spread.select("row", "column", part.alias("part"), F.lit(first).alias("first"), "at", "size", "item")
+
+    met = side(large_users, "row", "column", n_others, True).unionByName(side(other_users, "column", "row", n_large, False))
+    tasks = max(n_large * n_others, 1)
+    laid = met.repartition(min(tasks, 4096), "row", "column").sortWithinPartitions("row", "column", "part")
+    found = laid.mapInArrow(lambda batches: _count_bits(batches, rule), "row int, column int, a int, b int, overlap bigint")
+    for end, users, group, at in (("u", large_users, "row", "a"), ("v", other_users, "column", "b")):
+        names = users.select(
+            F.col("group").alias(group), F.col("at").alias(at), F.col("user").alias(end), F.col("size").alias(f"{end}_size"),
+            *([F.col("is_large")] if end == "v" else []),
+        )
+        found = found.join(names, [group, at])
+    once = (F.col("u") != F.col("v")) & (F.col("is_large").isNull() | (F.col("u") < F.col("v")))
+    return _oriented(found.where(once).select("u", "v", "overlap", F.col("u_size").alias("n"), F.col("v_size").alias("m")))
+
+
+#: Users of a group of large ones and of their partners; rows of a part that a task holds at a time.
+LARGE_GROUP, OTHER_GROUP, PART_ROWS = 64, 1024, 200_000
+
+
+def _grouped(scratch: Scratch, name: str, users: DataFrame, size: int) -> tuple[DataFrame, int]:
+    """Users with a group by hash and a place in it from 0 on; a group has about ``size`` of them."""
+    groups = max(1, math.ceil(users.count() / size))
+    dealt = users.withColumn("group", F.pmod(F.xxhash64("user"), F.lit(groups)).cast("int"))
+    at = F.row_number().over(Window.partitionBy("group").orderBy("user")) - 1
+    return scratch.write(dealt.withColumn("at", at.cast("int")), name), groups
+
+
+class _Cell:
+    """Common items of two groups of users, counted part by part."""
+
+    def __init__(self, row: int, column: int):
+        self.row, self.column, self.waiting = row, column, []
+        self.counts = np.zeros((0, 0), np.int64)
+        self.sizes = [np.zeros(0, np.int64), np.zeros(0, np.int64)]
+
+    def count(self) -> None:
+        """Add the part that is waiting: a bitmap per user over the items of the part."""
+        if not self.waiting:
+            return
+        rows = pa.Table.from_batches(self.waiting)
+        self.waiting = []
+        codes = rows["item"].combine_chunks().dictionary_encode()
+        codes, width = codes.indices.to_numpy(), -(-len(codes.dictionary) // 64) * 64
+        first, at, size = (rows[c].to_numpy() for c in ("first", "at", "size"))
+        bits = []
+        for k, mine in enumerate((first, ~first)):
+            users = int(at[mine].max()) + 1 if mine.any() else 0
+            self.sizes[k] = _grown(self.sizes[k], (users,))
+            self.sizes[k][at[mine]] = size[mine]
+            own = np.zeros((users, width), bool)
+            own[at[mine], codes[mine]] = True
+            bits.append(np.packbits(own, axis=1).view(np.uint64))
+        self.counts = _grown(self.counts, (len(bits[0]), len(bits[1])))
+        for i, line in enumerate(bits[0]):
+            if line.any():
+                self.counts[i, : len(bits[1])] += np.bitwise_count(bits[1] & line).sum(axis=1, dtype=np.int64)
+
+    def passing(self, rule: Rule) -> pa.RecordBatch:
+        n, m = (s[:k] for s, k in zip(self.sizes, self.counts.shape))
+        if rule.overlap is not None:
+            good = self.counts >= rule.overlap
+        else:
+            good = (self.counts > 0) & (self.counts >= rule.jaccard * np.maximum(n[:, None] + m[None, :] - self.counts, 1) - SLACK)
+            i, j = np.nonzero(good)
+            k = self.counts[i, j]
+            good[i, j] = k / (n[i] + m[j] - k) >= rule.jaccard
+        a, b = np.nonzero(good)
+        places = [np.full(len(a), self.row), np.full(len(a), self.column), a, b]
+        return pa.RecordBatch.from_arrays([*(pa.array(x.astype(np.int32)) for x in places), pa.array(self.counts[a, b])], ["row", "column", "a", "b", "overlap"])
+
+
+def _grown(array: np.ndarray, shape: tuple[int, ...]) -> np.ndarray:
+    """The array with zeros behind it up to a shape, if that is larger."""
+    return np.pad(array, [(0, max(0, want - have)) for want, have in zip(shape, array.shape)])
+
+
+def _count_bits(batches, rule: Rule):
+    """Rows in order of (row, column, part) as pairs that pass: one part and one table of counts in memory at a time."""
+    cell = key = None
+    for batch in batches:
+        columns = [batch.column(i).to_numpy() for i in range(3)]
+        change = np.any([c[1:] != c[:-1] for c in columns], axis=0)
+        edges = [0, *(np.flatnonzero(change) + 1).tolist(), batch.num_rows]
+        for start, stop in zip(edges, edges[1:]):
+            if start == stop:
+                continue
+            now = tuple(int(c[start]) for c in columns)
+            if cell is not None and now != key:
+                cell.count()
+                if now[:2] != key[:2]:
+                    yield cell.passing(rule)
+                    cell = None
+            if cell is None:
+                cell = _Cell(*now[:2])
+            key = now
+            cell.waiting.append(batch.slice(start, stop - start))
+    if cell is not None:
+        cell.count()
+        yield cell.passing(rule)
 
 
 def jaccard_of(overlap: Column, n: Column, m: Column) -> Column:

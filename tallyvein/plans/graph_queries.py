@@ -5,11 +5,12 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tallyvein.functions.ranking import at_maximum, positions
-from tallyvein.operators import communities, graphs
+from tallyvein.operators import communities, graphs, overlap
 from tallyvein.plans.inputs import customer_months, customer_nations, customer_parts, r6
 from tallyvein.plans.registry import CUSTOMER_MONTHS, CUSTOMER_NATIONS, CUSTOMER_PARTS, query
 from tallyvein.session import Scratch
 from tallyvein.sources import sinks
+from tallyvein.sources.readers import table
 
 COMMON = 5  # parts two customers must share
 SIMILAR = 0.5
@@ -45,6 +46,20 @@ def cooccurrence_pairs(spark, folder):
     return graphs.cooccurrence_graph(customer_parts(spark, folder), "o_custkey", "l_partkey", 2)
 
 
+_SUPPLIER_ORDERS = "(SELECT DISTINCT l_suppkey AS u, l_orderkey AS i FROM lineitem)"
+#: Orders two suppliers must share: suppliers have hundreds of orders each, so most are large users.
+SHARED_ORDERS = 35
+
+
+@query("J1 SET1 AR2", f"""WITH d AS MATERIALIZED {_SUPPLIER_ORDERS}, s AS (SELECT u, count(*) AS n FROM d GROUP BY 1),
+    p AS (SELECT a.u AS src, b.u AS dst, count(*) AS overlap FROM d a JOIN d b ON a.i = b.i AND a.u < b.u GROUP BY ALL HAVING count(*) >= {SHARED_ORDERS})
+    SELECT src, dst, overlap, s.n AS src_size, t.n AS dst_size FROM p JOIN s ON s.u = src JOIN s t ON t.u = dst""")
+def supplier_pairs(spark, folder):
+    """Pairs of large sets, counted bit by bit in groups; only pairs that pass leave a task."""
+    lines = table(spark, folder, "lineitem").select("l_suppkey", "l_orderkey")
+    return overlap.shared_pairs(lines, "l_suppkey", "l_orderkey", overlap.Rule(overlap=SHARED_ORDERS), expansion=0.0)
+
+
 @query("GR1 J1 FLT2", CO_SQL)
 def cooccurrence_graph(spark, folder):
     return graphs.cooccurrence_graph(customer_parts(spark, folder), "o_custkey", "l_partkey", COMMON)

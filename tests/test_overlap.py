@@ -3,8 +3,11 @@
 import random
 from itertools import combinations
 
+import pandas as pd
+import pyarrow as pa
 import pytest
 
+from tallyvein.operators import overlap
 from tallyvein.operators.overlap import Rule, shared_pairs
 
 
@@ -65,3 +68,33 @@ def test_rule_needs_one_threshold():
 def test_empty_input(spark):
     df = spark.createDataFrame([], "u bigint, i bigint")
     assert shared_pairs(df, "u", "i", Rule(overlap=1)).count() == 0
+
+
+@pytest.mark.parametrize("rule", [Rule(overlap=300), Rule(jaccard=0.4), Rule(jaccard=0.95)], ids=str)
+def test_large_users_in_groups_and_parts(spark, rule, monkeypatch):
+    """A user with 100,000 items, others near it, and small groups and parts, so that every kind of boundary is met."""
+    monkeypatch.setattr(overlap, "LARGE_GROUP", 2)
+    monkeypatch.setattr(overlap, "OTHER_GROUP", 3)
+    monkeypatch.setattr(overlap, "PART_ROWS", 20_000)
+    sets = {0: range(100_000), 1: range(40_000, 100_000), 2: range(0, 100_000, 2), 3: range(99_500, 100_300), 4: range(300), 5: range(700)}
+    sets |= {6: range(1, 100_000), 7: range(200_000, 200_900), 8: range(5)}
+    rows = [(u, i) for u, items in sets.items() for i in items]
+    df = spark.createDataFrame(pd.DataFrame(rows, columns=["u", "i"]))
+    got = {tuple(r) for r in shared_pairs(df, "u", "i", rule, expansion=0.0).collect()}
+    assert got == brute(rows, rule) and got
+
+
+def test_pairs_that_fail_do_not_leave_the_task(spark):
+    rows = [(u, f"item {i}") for u in range(12) for i in range(u * 50, u * 50 + 600)]
+    df = spark.createDataFrame(rows, "u int, i string")
+    rule = Rule(overlap=500)
+    left = []
+    batches = [pa.RecordBatch.from_pydict({
+        "row": pa.array([0] * 1800, pa.int32()), "column": pa.array([0] * 1800, pa.int32()), "part": pa.array([0] * 1800, pa.int32()),
+        "first": [True] * 600 + [False] * 1200, "at": pa.array([0] * 600 + [0] * 600 + [1] * 600, pa.int32()),
+        "size": pa.array([600] * 1800, pa.int64()), "item": [*range(600), *range(50, 650), *range(400, 1000)],
+    })]
+    for batch in overlap._count_bits(batches, rule):
+        left += batch.to_pylist()
+    assert [(r["a"], r["b"], r["overlap"]) for r in left] == [(0, 0, 550)]
+    assert {tuple(r) for r in shared_pairs(df, "u", "i", rule, expansion=0.0).collect()} == brute(rows, rule)
