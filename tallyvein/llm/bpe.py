@@ -17,13 +17,15 @@ import json
 import struct
 import unicodedata
 from collections.abc import Iterable, Iterator
-from functools import lru_cache
+from functools import cache, lru_cache
 
 import numpy as np
 import pyarrow as pa
 import regex
+import tokenizers
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from tokenizers import normalizers, pre_tokenizers
 
 #: Words kept with their encoding in a task, and token pairs with their verdict; both are emptied when full.
 WORDS_KEPT = 300_000
@@ -213,6 +215,39 @@ class WordStream:
         yield from self._chain(len(self.last) - 1)
 
 
+def _characters() -> str:
+    return "".join(chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000)
+
+
+@cache
+def character_class(name: str) -> str:
+    """The ranges of a class such as \\p{L} in the library's own version of Unicode, as the inside of a set."""
+    runs = pre_tokenizers.Split(tokenizers.Regex(name + "+"), "removed", invert=True).pre_tokenize_str(_characters())
+    return "".join(f"\\U{ord(run[0]):08x}-\\U{ord(run[-1]):08x}" for run, _ in runs)
+
+
+def with_library_classes(pattern: str) -> str:
+    """The pattern with its classes spelled out: regex engines differ in the version of Unicode that they know."""
+    out, inside = [], False
+    for part in regex.findall(r"\\p\{\w+\}|\\s|\\.|.", pattern):
+        if part in ("[", "]"):
+            inside = part == "["
+        if part.startswith("\\p") or part == "\\s":
+            part = character_class(part) if inside else f"[{character_class(part)}]"
+        out.append(part)
+    return "".join(out)
+
+
+@cache
+def newer_characters() -> tuple[regex.Pattern, dict[int, str]]:
+    """Characters that Python's tables do not know, and the lower case that the library's tables have for some of them."""
+    some = [c for c in range(0x110000) if unicodedata.category(chr(c)) == "Cn"]
+    edges = [i for i, c in enumerate(some) if not i or some[i - 1] != c - 1]
+    runs = "".join(f"\\U{some[i]:08x}-\\U{some[j - 1]:08x}" for i, j in zip(edges, [*edges[1:], len(some)]))
+    lowered = normalizers.Lowercase().normalize_str("\n".join(map(chr, some))).split("\n")
+    return regex.compile(f"[{runs}]"), {c: low for c, low in zip(some, lowered) if chr(c) != low}
+
+
 class Tokenizer:
     """A word BPE from a tokenizer file: normaliser, word pattern, byte alphabet, merges, special tokens."""
 
@@ -227,7 +262,7 @@ class Tokenizer:
         self.specials = {t["content"]: t["id"] for t in spec.get("added_tokens") or []}
         self.merges = Merges(vocab, model["merges"], model.get("end_of_word_suffix"))
         self.shown = {**self.merges.token, **{i: t for t, i in self.specials.items()}}
-        self.word = regex.compile(steps[0]["pattern"]["Regex"], regex.VERSION1)
+        self.word = regex.compile(with_library_classes(steps[0]["pattern"]["Regex"]), regex.VERSION1)
         self.cut = regex.compile("|".join(map(regex.escape, self.specials))) if self.specials else None
         alphabet = byte_alphabet()
         self.to_symbols = dict(enumerate(alphabet))
@@ -249,8 +284,15 @@ class Tokenizer:
         yield [known[w] for w in self._words(text[at:] if at else text)]
 
     def _words(self, text: str) -> list[str]:
-        # Character by character: a capital sigma is never the final one.
-        return self.word.findall(unicodedata.normalize("NFC", text).replace("Σ", "σ").lower())
+        if not text.isascii():
+            younger, lower = newer_characters()
+            if younger.search(text):
+                text = normalizers.NFC().normalize_str(text).translate(lower)
+            else:
+                text = unicodedata.normalize("NFC", text)
+            # Character by character: a capital sigma is never the final one.
+            text = text.replace("Σ", "σ")
+        return self.word.findall(text.lower())
 
     def packed(self, text: str) -> tuple[bytes, bytes]:
         """(ids as little-endian unsigned 32-bit integers, the decoded text in UTF-8) of a whole text."""

@@ -100,3 +100,25 @@ def test_round_trip_of_plain_words(spark):
     docs = spark.createDataFrame([(1, "straße naïve 日本 ok"), (2, None), (3, "")], "doc_id long, text string")
     back = decode_tokens(encode_texts(docs, PATH), PATH)
     assert {r.doc_id: r.decoded for r in back.collect()} == {1: "straße naïve 日本 ok ", 2: "", 3: ""}
+
+
+def test_every_code_point_is_encoded_as_by_the_library():
+    """Between letters, between digits and alone: 0 differences, whatever Unicode version the regex engine knows."""
+    mine, library = Tokenizer(PATH), Library.from_file(PATH)
+    points = [c for c in range(0x110000) if not 0xD800 <= c < 0xE000]
+    different = []
+    for first in range(0, len(points), 20_000):
+        texts = [f"a{chr(c)}b 1{chr(c)}2 {chr(c)}" for c in points[first : first + 20_000]]
+        expected = library.encode_batch(texts, add_special_tokens=False)
+        different += [text for text, e in zip(texts, expected) if mine.encode(text) != e.ids]
+        mine.known.clear()
+    assert different == []
+
+
+def test_random_mixes_are_encoded_as_by_the_library():
+    rng = random.Random(8)
+    mine, library = Tokenizer(PATH), Library.from_file(PATH)
+    blocks = [(0, 0x250), (0x300, 0x400), (0x590, 0x700), (0x0B80, 0x0C00), (0x1C80, 0x1CC0), (0x1AB0, 0x1B00), (0xA640, 0xA830), (0x10D40, 0x10D90), (0x16E80, 0x16F00)]
+    for _ in range(3000):
+        text = "".join(chr(rng.randrange(*rng.choice(blocks))) for _ in range(rng.randint(1, 20)))
+        assert mine.encode(text) == library.encode(text, add_special_tokens=False).ids, ascii(text)
