@@ -7,7 +7,7 @@ import pandas as pd
 import pyarrow as pa
 import pytest
 
-from tallyvein.operators import overlap
+from tallyvein.operators import minhash, overlap
 from tallyvein.operators.overlap import Rule, shared_pairs
 
 
@@ -98,3 +98,28 @@ def test_pairs_that_fail_do_not_leave_the_task(spark):
         left += batch.to_pylist()
     assert [(r["a"], r["b"], r["overlap"]) for r in left] == [(0, 0, 550)]
     assert {tuple(r) for r in shared_pairs(df, "u", "i", rule, expansion=0.0).collect()} == brute(rows, rule)
+
+
+def test_bands_reach_the_stated_recall():
+    for jaccard in (0.3, 0.5, 0.8, 0.95, 1.0):
+        for recall in (0.5, 0.9, 0.99):
+            bands, rows = minhash.band_plan(jaccard, recall)
+            assert 1 - (1 - jaccard**rows) ** bands >= recall - 1e-12 and bands * rows <= minhash.MOST_HASHES
+    with pytest.raises(ValueError, match="recall"):
+        minhash.band_plan(0.001, 0.99)
+
+
+def test_approximate_pairs_are_right_and_nearly_all(spark):
+    rng = random.Random(9)
+    rows = []
+    for group in range(60):
+        base = rng.sample(range(2000), 40)
+        for copy in range(4):
+            rows += [(group * 4 + copy, i) for i in rng.sample(base, 36)]
+    rows += [(1000 + k, i) for k in range(5) for i in range(3000, 3010)]
+    df = spark.createDataFrame(rows, "u long, i long")
+    found = minhash.approximate_pairs(df, "u", "i", 0.7, 0.95)
+    report = minhash.recall_report(found, shared_pairs(df, "u", "i", Rule(jaccard=0.7))).first()
+    assert report.wrong == 0 and report.pairs > 300 and report.recall >= 0.9
+    assert found.count() == report.found
+    assert minhash.approximate_pairs(df.limit(0), "u", "i", 0.7).count() == 0
