@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyvein.functions.vectors import as_matrix, squared_distances
+from tallyvein.session import Scratch
 
 MOMENTS = "cluster_id int, dim int, n bigint, sum double, sumsq double"
 
@@ -47,21 +48,39 @@ def farthest_point(points: DataFrame, centres) -> list[float]:
     return list(best.first()["best"]["features"])
 
 
-def farthest_first(points: DataFrame, k: int, start=None) -> list[list[float]]:
+def farthest_first(points: DataFrame, k: int, start=None, carry: int = 16) -> list[list[float]]:
     """k seeds: a start point (the smallest id unless given), then again and again the farthest point.
 
-    k - 1 passes over the points, one row back per pass.
+    k - 1 passes over the points, one row back per pass. After every ``carry`` seeds the distance to the
+    nearest of them is written beside each point, so a pass measures ``carry`` distances per point at most,
+    however many seeds there are.
     """
     if start is None:
         first = points.agg(F.min_by("features", "point_id").alias("f")).first()["f"]
     else:
         first = points.where(F.col("point_id") == F.lit(start)).select("features").first()["features"]
-    centres = [list(first)]
+    centres, carried = [list(first)], 0
+    scratch, held = None, points.select("point_id", "features", F.lit(float("inf")).alias("near"))
     while len(centres) < k:
-        centres.append(farthest_point(points, centres))
+        if len(centres) - carried > carry:
+            scratch = scratch or Scratch(points.sparkSession, "seeds")
+            last = f"near-{carried}" if carried else None
+            held = scratch.write(_with_carried(held, centres[carried:]), f"near-{len(centres)}")
+            if last:
+                scratch.drop(last)
+            carried = len(centres)
+        near = _with_carried(held, centres[carried:])
+        best = near.agg(F.min(F.struct((-F.col("near")).alias("neg"), "point_id", "features")).alias("best"))
+        centres.append(list(best.first()["best"]["features"]))
     return centres
 
 
+def _with_carried(held: DataFrame, centres) -> DataFrame:
+    """(point_id, features, near): the distance to the nearest of the centres, or what is carried if that is less."""
+    near = with_nearest(held, centres) if centres else held.withColumn("distance", F.col("near"))
+    return near.select("point_id", "features", F.least("near", "distance").alias("near"))
+
+
 def _moment_rows(labels: np.ndarray, matrix: np.ndarray) -> pa.RecordBatch:
     clusters, index = np.unique(labels, return_inverse=True)
     dims = matrix.shape[1]

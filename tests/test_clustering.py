@@ -249,3 +249,16 @@ def test_chains_of_moves_lead_to_their_end(spark):
     rows = [(i, i - 1) for i in range(1, 40)] + [(100, 50)]
     found = summaries.resolve(Scratch(spark, "test-chains"), spark.createDataFrame(rows, summaries.MOVES))
     assert sorted(map(tuple, found.collect())) == [(i, 0) for i in range(1, 40)] + [(100, 50)]
+
+
+@pytest.mark.parametrize("carry", [1, 3, 100])
+def test_carried_distances_give_the_same_seeds(spark, carry):
+    rng = np.random.default_rng(3)
+    rows = rng.integers(-50, 50, (80, 3)).tolist()  # whole numbers: ties of distances are met
+    df = points_of(spark, list(enumerate(rows)))
+    matrix, seeds = np.array(rows, float), [0]
+    while len(seeds) < 12:
+        near = np.min([np.linalg.norm(matrix - matrix[s], axis=1) for s in seeds], axis=0)
+        seeds.append(int(np.flatnonzero(near >= near.max() - 1e-12)[0]))
+    found = clustering.farthest_first(df, 12, carry=carry)
+    assert found == [matrix[s].tolist() for s in seeds]
