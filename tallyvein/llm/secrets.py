@@ -185,29 +185,39 @@ def secret_report(
     )
 
 
+def free_prefix(columns: list[str]) -> str:
+    """Underscores that no column name begins with."""
+    prefix = "_"
+    while any(name.startswith(prefix) for name in columns):
+        prefix += "_"
+    return prefix
+
+
 def redact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", repository: Column | None = None, owner: Column | None = None) -> DataFrame:
     """``docs`` with every live-looking span of its text replaced by [secret]; copied examples stay.
 
-    All rows and columns stay; a null text stays null.
+    All rows and columns stay, whatever their names; a null text stays null, an empty one empty. Repeated rows are
+    replaced alike; rows with a null id take part. An empty table gives no rows.
     """
+    own = free_prefix(docs.columns)
     found = secret_spans(docs, id_col, text_col, repository, owner)
-    live = found.select(F.col("id").alias("_id"), F.col("text_hash").alias("_hash"), F.filter("spans", lambda s: s["live"]).alias("_spans"))
-    live = live.where(F.size("_spans") > 0)
+    live = found.select(F.col("id").alias(f"{own}id"), F.col("text_hash").alias(f"{own}hash"), F.filter("spans", lambda s: s["live"]).alias(f"{own}spans"))
+    live = live.where(F.size(f"{own}spans") > 0)
     # Spans by start; what overlaps an earlier one goes with it.
     parts = F.aggregate(
-        "_spans", F.struct(F.lit("").alias("text"), F.lit(0).cast("long").alias("at")),
+        f"{own}spans", F.struct(F.lit("").alias("text"), F.lit(0).cast("long").alias("at")),
         lambda done, s: F.when(s["start"] >= done["at"], F.struct(
-            F.concat(done["text"], F.substring(F.col("_text"), done["at"].cast("int") + 1, (s["start"] - done["at"]).cast("int")), F.lit("[secret]")).alias("text"),
+            F.concat(done["text"], F.substring(F.col(f"{own}text"), done["at"].cast("int") + 1, (s["start"] - done["at"]).cast("int")), F.lit("[secret]")).alias("text"),
             s["end"].alias("at"),
         )).otherwise(F.struct(done["text"].alias("text"), F.greatest(done["at"], s["end"]).alias("at"))),
     )
     text = F.col(text_col).cast("string")
-    joined = docs.withColumns({"_text": text, "_text_hash": F.xxhash64(text)}).join(
-        live, F.col(id_col).eqNullSafe(F.col("_id")) & (F.col("_text_hash") == F.col("_hash")), "left"
+    joined = docs.withColumns({f"{own}text": text, f"{own}text_hash": F.xxhash64(text)}).join(
+        live, F.col(id_col).eqNullSafe(F.col(f"{own}id")) & (F.col(f"{own}text_hash") == F.col(f"{own}hash")), "left"
     )
     parts = parts.alias("p")
-    joined = joined.withColumn("_done", F.when(F.col("_spans").isNotNull(), parts))
-    new = F.when(F.col("_done").isNull(), F.col("_text")).otherwise(
-        F.concat(F.col("_done.text"), F.expr("substring(_text, cast(_done.at as int) + 1)"))
+    joined = joined.withColumn(f"{own}done", F.when(F.col(f"{own}spans").isNotNull(), parts))
+    new = F.when(F.col(f"{own}done").isNull(), F.col(f"{own}text")).otherwise(
+        F.concat(F.col(f"{own}done.text"), F.expr(f"substring({own}text, cast({own}done.at as int) + 1)"))
     )
     return joined.withColumn(text_col, new).select(*docs.columns)

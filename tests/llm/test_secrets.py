@@ -83,3 +83,15 @@ def test_token_of_two_owners_is_live(spark, tmp_path):
     docs.write.parquet(str(tmp_path / "documents.parquet"))
     got = {r.doc_id: (r.spans, r.n_live) for r in op9_secret_scans(spark, str(tmp_path)).collect()}
     assert got == {1: ("token:4:28", 1), 2: ("token:4:28", 1), 10: ("", 0), 11: ("", 0), 12: ("", 0)}
+
+
+def test_redact_keeps_columns_of_any_name(spark):
+    names = ["_text", "_id", "_spans", "_done", "_hash", "_text_hash", "__text", "spans"]
+    rows = [(i, 'password = "hunter2secret%d"' % i, *names) for i in range(3)] + [(9, None, *names), (10, "", *names)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, " + ", ".join(f"`{n}` string" for n in names))
+    out = redact(df, "doc_id", "text", F.col("doc_id"), F.col("doc_id"))
+    assert out.columns == df.columns
+    got = {r[0]: tuple(r)[1:] for r in out.collect()}
+    assert all("[secret]" in got[i][0] and "hunter2" not in got[i][0] for i in range(3)) and got[9][0] is None and got[10][0] == ""
+    assert all(v[1:] == tuple(names) for v in got.values())
+    assert redact(df.limit(0)).collect() == []
