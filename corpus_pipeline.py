@@ -12,7 +12,7 @@ from tallyvein.llm.decontamination import without_leaks
 from tallyvein.llm.ngram_join import ngram_components
 from tallyvein.llm.quality import keep_quality
 from tallyvein.llm.queries import WORD_BPE, quality_model
-from tallyvein.llm.secrets import redact
+from tallyvein.llm.secrets import free_prefix, redact
 from tallyvein.session import Scratch
 from tallyvein.sources.readers import table
 
@@ -26,12 +26,13 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, folder: str) -> DataFr
     """One document of each group stays, the one with the smallest id, once.
 
     Groups are connected by a Jaccard similarity of 0.8 or more of five-word shingles. Documents without
-    an id or without words stay.
+    an id or without words stay. Columns may have any names.
     """
+    text = f"{free_prefix(docs.columns)}text"
     classed = ngram_components(docs, "doc_id", "text", 5, Fraction(8, 10))
     kept = classed.where("doc_id = component_id").select("doc_id").distinct()
-    named = docs.join(kept, "doc_id", "left_semi").select(*docs.columns, F.xxhash64("text").alias("_text"))
-    named = named.dropDuplicates(["doc_id", "_text"]).drop("_text")
+    named = docs.join(kept, "doc_id", "left_semi").select(*docs.columns, F.xxhash64("text").alias(text))
+    named = named.dropDuplicates(["doc_id", text]).drop(text)
     return named.unionByName(docs.where("doc_id IS NULL"))
 
 
