@@ -14,6 +14,7 @@ from __future__ import annotations
 import codecs
 import hashlib
 import json
+import re
 import struct
 import unicodedata
 from collections.abc import Iterable, Iterator
@@ -220,10 +221,15 @@ def _characters() -> str:
 
 
 @cache
-def character_class(name: str) -> str:
-    """The ranges of a class such as \\p{L} in the library's own version of Unicode, as the inside of a set."""
+def character_runs(name: str) -> list[str]:
+    """All characters of a class such as \\p{L} in the library's own version of Unicode, in runs."""
     runs = pre_tokenizers.Split(tokenizers.Regex(name + "+"), "removed", invert=True).pre_tokenize_str(_characters())
-    return "".join(f"\\U{ord(run[0]):08x}-\\U{ord(run[-1]):08x}" for run, _ in runs)
+    return [run for run, _ in runs]
+
+
+def character_class(name: str) -> str:
+    """The ranges of a class, as the inside of a set."""
+    return "".join(f"\\U{ord(run[0]):08x}-\\U{ord(run[-1]):08x}" for run in character_runs(name))
 
 
 def with_library_classes(pattern: str) -> str:
@@ -239,13 +245,22 @@ def with_library_classes(pattern: str) -> str:
 
 
 @cache
-def newer_characters() -> tuple[regex.Pattern, dict[int, str]]:
-    """Characters that Python's tables do not know, and the lower case that the library's tables have for some of them."""
-    some = [c for c in range(0x110000) if unicodedata.category(chr(c)) == "Cn"]
+def newer_characters() -> tuple[re.Pattern, regex.Pattern, dict[int, str]]:
+    """Characters that Python's tables do not know or that regex and the library put into different classes.
+
+    (a pattern for what lies beyond all characters before the first of them, one for them, and the lower case
+    that the library's tables have for some of them).
+    """
+    every = _characters()
+    odd = {c for c in every if unicodedata.category(c) == "Cn"}
+    for name in (r"\p{L}", r"\p{N}", r"\s"):
+        odd ^= (set(regex.findall(name, every)) ^ set("".join(character_runs(name)))) - odd
+    some = sorted(map(ord, odd))
     edges = [i for i, c in enumerate(some) if not i or some[i - 1] != c - 1]
     runs = "".join(f"\\U{some[i]:08x}-\\U{some[j - 1]:08x}" for i, j in zip(edges, [*edges[1:], len(some)]))
     lowered = normalizers.Lowercase().normalize_str("\n".join(map(chr, some))).split("\n")
-    return regex.compile(f"[{runs}]"), {c: low for c, low in zip(some, lowered) if chr(c) != low}
+    beyond = re.compile(f"[\\U{some[0]:08x}-\\U0010ffff]")
+    return beyond, regex.compile(f"[{runs}]"), {c: low for c, low in zip(some, lowered) if chr(c).lower() != low}
 
 
 class Tokenizer:
@@ -262,7 +277,9 @@ class Tokenizer:
         self.specials = {t["content"]: t["id"] for t in spec.get("added_tokens") or []}
         self.merges = Merges(vocab, model["merges"], model.get("end_of_word_suffix"))
         self.shown = {**self.merges.token, **{i: t for t, i in self.specials.items()}}
-        self.word = regex.compile(with_library_classes(steps[0]["pattern"]["Regex"]), regex.VERSION1)
+        self.word = regex.compile(steps[0]["pattern"]["Regex"], regex.VERSION1)
+        # The same with classes spelled out: slow, for texts with characters that engines see differently.
+        self.exact = regex.compile(with_library_classes(steps[0]["pattern"]["Regex"]), regex.VERSION1)
         self.cut = regex.compile("|".join(map(regex.escape, self.specials))) if self.specials else None
         alphabet = byte_alphabet()
         self.to_symbols = dict(enumerate(alphabet))
@@ -284,14 +301,13 @@ class Tokenizer:
         yield [known[w] for w in self._words(text[at:] if at else text)]
 
     def _words(self, text: str) -> list[str]:
+        # Lower case character by character: a capital sigma is never the final one.
         if not text.isascii():
-            younger, lower = newer_characters()
-            if younger.search(text):
+            beyond, disputed, lower = newer_characters()
+            if beyond.search(text) and disputed.search(text):
                 text = normalizers.NFC().normalize_str(text).translate(lower)
-            else:
-                text = unicodedata.normalize("NFC", text)
-            # Character by character: a capital sigma is never the final one.
-            text = text.replace("Σ", "σ")
+                return self.exact.findall(text.replace("Σ", "σ").lower())
+            text = unicodedata.normalize("NFC", text).replace("Σ", "σ")
         return self.word.findall(text.lower())
 
     def packed(self, text: str) -> tuple[bytes, bytes]:
