@@ -19,7 +19,7 @@ from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
-    r"|<(?P<raw>script|style|title|textarea|template|noscript|iframe|svg|math|object|select|button)\b[^>]*+(?:(?<=/)>|>.*?(?:</(?P=raw)\s*+>|\Z))"
+    r"|<(?P<raw>script|style|title|textarea|template|noscript|iframe|select|button)\b[^>]*+(?:(?<=/)>|>.*?(?:</(?P=raw)\s*+>|\Z))"
     r"|<(?P<end>/?)(?P<tag>[a-z][^\s/>]*+)(?P<attributes>(?:[^>\"']|\"[^\"]*+\"|'[^']*+')*+)>"
     r"|</?[a-z][^>]*+(?:>|\Z)"
     r"|<[!?/][^>]*+(?:>|\Z)",
@@ -27,6 +27,9 @@ _TOKEN = re.compile(
 )
 _ATTRIBUTE = re.compile(r"\b(class|id|role|hidden|style|aria-hidden|aria-label)\b(?:\s*+=\s*+(?:\"([^\"]*+)\"|'([^']*+)'|([^\s>]++)))?", re.I)
 _NAME = re.compile(r"[a-z]+")
+#: A closing line on rights: a short block that dates a copyright or reserves all rights.
+_RIGHTS = re.compile(r"(?:©|\(c\)|\bcopyright\b)[\s©]*(?:\(c\)\s*)?(?:19|20)\d\d\b|\ball rights reserved\b", re.I)
+RIGHTS_WORDS = 25
 
 _BLOCKS = frozenset(
     "address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer form"
@@ -48,7 +51,9 @@ WORDS = {
         " nav navbar navigation newsletter notice pagination popup related search share sharing sidebar signup social subscribe tags toolbar widget".split(), -70
     ),
 }
-HIDDEN = -80
+#: Words that make the rest of a class say what a layout has or lacks, not what the element is.
+LAYOUT = frozenset("with without no not has hide show is".split())
+HIDDEN, RIGHTS = -80, -70
 LINKED, WORDY = -25, 10
 ADJACENT, SIBLING = 6, 4
 
@@ -61,7 +66,30 @@ class Block:
 
     def score(self) -> int:
         """Cost of boilerplate less cost of content."""
-        return self.evidence + round(LINKED * self.linked) + min(WORDY, 2 + self.text.count(" "))
+        words = 1 + self.text.count(" ")
+        # Inside an element that says it is content, a line on rights is the author's.
+        rights = RIGHTS if self.evidence <= 0 and words <= RIGHTS_WORDS and _RIGHTS.search(self.text) else 0
+        return self.evidence + round(LINKED * self.linked) + min(WORDY, 1 + words) + rights
+
+
+def _named(tag: str, value: str) -> set[str]:
+    """The words of a class, id or role that tell what the element is.
+
+    Each name between spaces is read by itself. Names that begin with a word of ``LAYOUT`` describe the
+    page around. Reasons against count in names of at most two words, or as the last word of a longer
+    one, which otherwise is a title made into a name; on an article or main element only as a whole name.
+    """
+    found = set()
+    for name in value.split():
+        words = _NAME.findall(name)
+        if not words or words[0] in LAYOUT:
+            continue
+        told = words if len(words) <= 2 else words[-1:]
+        if tag in ("article", "main") and len(words) > 1:
+            told = []
+        found.update(w for w in told if WORDS.get(w, 0) < 0)
+        found.update(w for w in words if WORDS.get(w, 0) > 0)
+    return found
 
 
 def _evidence(tag: str, attributes: str, inside: frozenset) -> frozenset:
@@ -75,7 +103,7 @@ def _evidence(tag: str, attributes: str, inside: frozenset) -> frozenset:
             if name in ("class", "id", "role"):
                 # The page as a whole says nothing about its parts.
                 if tag not in ("html", "body"):
-                    found.update(w for w in _NAME.findall(value) if w in WORDS)
+                    found.update(_named(tag, value))
             elif name == "hidden" or name == "aria-hidden" and value == "true" or name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value):
                 found.add("hidden")
     return inside | found if found else inside
@@ -159,35 +187,55 @@ def minimum_cut(scores: list[int], edges: list[tuple[int, int, int]]) -> list[bo
     ``edges`` are (node, node, capacity), in both directions. Of equal cuts the one that keeps least.
     """
     left = list(scores)  # positive: what the source can still send; negative: what the sink can still take
-    around: list[dict[int, int]] = [{} for _ in scores]
+    around: list[list[int]] = [[] for _ in scores]  # arc e leads to ends[e], its reverse is e ^ 1
+    ends: list[int] = []
+    room: list[int] = []
     for a, b, capacity in edges:
-        around[a][b] = around[a].get(b, 0) + capacity
-        around[b][a] = around[b].get(a, 0) + capacity
+        around[a].append(len(ends))
+        around[b].append(len(ends) + 1)
+        ends += (b, a)
+        room += (capacity, capacity)
     while True:
-        came = {i: -1 for i, s in enumerate(left) if s > 0}
-        queue, end = deque(came), -1
-        while queue and end < 0:
+        sources = [i for i, s in enumerate(left) if s > 0]
+        level = [-1] * len(left)
+        for i in sources:
+            level[i] = 0
+        queue, reached = deque(sources), False
+        while queue:
             i = queue.popleft()
-            for j, capacity in around[i].items():
-                if capacity > 0 and j not in came:
-                    came[j] = i
-                    if left[j] < 0:
-                        end = j
-                        break
+            for e in around[i]:
+                j = ends[e]
+                if level[j] < 0 and room[e] > 0:
+                    level[j] = level[i] + 1
+                    reached = reached or left[j] < 0
                     queue.append(j)
-        if end < 0:
-            return [i in came for i in range(len(left))]
-        path, j, flow = [], end, -left[end]
-        while came[j] >= 0:
-            path.append((came[j], j))
-            flow = min(flow, around[came[j]][j])
-            j = came[j]
-        flow = min(flow, left[j])
-        left[j] -= flow
-        left[end] += flow
-        for i, k in path:
-            around[i][k] -= flow
-            around[k][i] += flow
+        if not reached:
+            return [depth >= 0 for depth in level]
+        # A blocking flow: paths only go down the levels, and an arc found useless is not tried again.
+        tried = [0] * len(left)
+        for source in sources:
+            path, i = [], source
+            while left[source] > 0:
+                if left[i] < 0:
+                    flow = min(left[source], -left[i], min(room[e] for e in path))
+                    left[source] -= flow
+                    left[i] += flow
+                    for e in path:
+                        room[e] -= flow
+                        room[e ^ 1] += flow
+                    path, i = [], source
+                    continue
+                arcs = around[i]
+                while tried[i] < len(arcs) and not (room[arcs[tried[i]]] > 0 and level[ends[arcs[tried[i]]]] == level[i] + 1):
+                    tried[i] += 1
+                if tried[i] < len(arcs):
+                    path.append(arcs[tried[i]])
+                    i = ends[path[-1]]
+                elif path:
+                    i = ends[path.pop() ^ 1]
+                    tried[i] += 1
+                else:
+                    break
 
 
 def smoothness(found: list[Block]) -> list[tuple[int, int, int]]:

@@ -2,6 +2,7 @@
 
 import itertools
 import random
+import time
 
 from tallyvein.llm.html import extract_main, main_blocks, minimum_cut
 
@@ -30,6 +31,13 @@ PAGES = {
     "links": ("<ul><li><a href=a>One link</a><li><a href=b>Two link</a><li><a href=c>Three link</a></ul><p>A long enough paragraph of plain words stands here, alone and content.</p>", "A long enough paragraph of plain words stands here, alone and content."),
     "broken": ("<article><p class='x>y'>Fine <a href=\"b>c\">text</a> here<p>and 1 < 2 more <b>bold", "Fine text here\nand 1 < 2 more bold"),
     "hidden": ("<article><p>Shown words stand in this place.</p><p style='display: none'>Secret words are not shown</p><p hidden>Nor these words here</p></article>", "Shown words stand in this place."),
+    "layout": ("<div class='content with-sidebar'><p>Plain words of a story stand here.</p><p>More of them come after that.</p></div>", "Plain words of a story stand here.\nMore of them come after that."),
+    "lacks": ("<article class='post no-sidebar'><p>Plain words of a story stand here.</p></article>", "Plain words of a story stand here."),
+    "slug": ("<article id='search-engines-explained'><p>Engines read pages and rank them.</p></article>", "Engines read pages and rank them."),
+    "reader": ("<article class='post'><p>Plain words of a story stand here.</p></article><article class='comment'><p>I have read it twice, and so should you.</p></article>", "Plain words of a story stand here."),
+    "formula": ("<article><p>Euler found <math><mi>e</mi><mo>=</mo><mn>1</mn></math> long ago.</p><p>See <object data=x>the drawing</object> and <svg><title>Icon</title><text>its label</text></svg> below.</p></article>", "Euler found e=1 long ago.\nSee the drawing and its label below."),
+    "rights": ("<h1>A title</h1><p>Plain words of a story stand here, and on they go.</p><p>Copyright law is old, and this story tells of it at length.</p><p>Copyright 2021 The Paper. All rights reserved.</p>", "A title\nPlain words of a story stand here, and on they go.\nCopyright law is old, and this story tells of it at length."),
+    "rights inside": ("<article><p>Plain words of a story stand here.</p><p>All rights reserved.</p></article>", "Plain words of a story stand here.\nAll rights reserved."),
     "empty": ("", ""),
     "nothing": ("<nav><a href=x>Only a menu</a></nav>", ""),
     "null": (None, ""),
@@ -46,6 +54,20 @@ def test_pages(spark):
     assert extract_main(pages.limit(0)).count() == 0
 
 
+def test_cut_of_long_chains():
+    """Paragraphs and adverts in turn, and far sources and sinks: the same least cost as over all prefixes' labels."""
+    rng = random.Random(7)
+    for scores in ([40 if i % 2 else -70 for i in range(12000)], [rng.randrange(-20, 21) for _ in range(3000)], [9] * 1000 + [0] * 1000 + [-9] * 1000):
+        edges = [(i, i + 1, 6) for i in range(len(scores) - 1)]
+        best = {keep: max(0, -scores[0]) if keep else max(0, scores[0]) for keep in (False, True)}
+        for s in scores[1:]:
+            best = {keep: min(best[keep], best[not keep] + 6) + (max(0, -s) if keep else max(0, s)) for keep in (False, True)}
+        began = time.perf_counter()
+        labels = minimum_cut(scores, edges)
+        assert time.perf_counter() - began < 5
+        assert cost(scores, edges, labels) == min(best.values())
+
+
 def test_long_and_deep_pages():
     many = "".join(f"<p>Paragraph number {i} has some words.</p>" for i in range(4000))
     assert len(main_blocks(f"<article>{many}</article>")) == 4000
