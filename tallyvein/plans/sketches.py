@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from tallyvein.functions.hashing import PRIME, hash_parameters
 from tallyvein.functions.ranking import with_top_counts
-from tallyvein.operators import distinct, membership, sampling, sketches
+from tallyvein.operators import blocked_bloom, distinct, membership, sampling, sketches
 from tallyvein.plans import inputs
 from tallyvein.plans.inputs import r6
 from tallyvein.plans.registry import MESSAGES, key_sql, query, rank_sql
@@ -75,6 +75,39 @@ def bloom_report(spark, folder):
     return report.withColumn("false_positive_rate", r6(F.col("false_positive_rate")))
 
 
+_N_BLOCKS = f"(SELECT CAST(greatest(1, ceil(count(*) * 10 / {blocked_bloom.BLOCK_BITS}.0)) AS BIGINT) FROM {_BUILD})"
+_SPOT = [f"(1::BIGINT << CAST(({key_sql('c_name', 1)} >> {blocked_bloom.LANE_BITS * i}) & 31 AS INTEGER))" for i in range(blocked_bloom.LANES)]
+_BLOCKS = f"""SELECT {key_sql('c_name')} % {_N_BLOCKS} AS block, {', '.join(f'bit_or({b}) AS {n}' for b, n in zip(_SPOT, blocked_bloom.LANE_NAMES))}
+    FROM {_BUILD} GROUP BY 1"""
+
+
+def _blocked(spark, folder):
+    """The filter of one segment, merged from those of two chunks of customers."""
+    members = inputs.building_customers(spark, folder)
+    n_blocks = blocked_bloom.blocks_for(members.distinct().count())
+    first = F.crc32("c_name") % 2 == 0
+    return blocked_bloom.blocked_merge([blocked_bloom.blocked_build(members.where(part), "c_name", n_blocks) for part in (first, ~first)])
+
+
+@query("SK1", _BLOCKS)
+def blocked_bloom_build(spark, folder):
+    return _blocked(spark, folder).blocks
+
+
+@query("SK2 SK3", f"""WITH b AS ({_BLOCKS}), t AS (SELECT c_name IN (SELECT c_name FROM {_BUILD}) AS present,
+        coalesce({' AND '.join(f'({n} & {b}) <> 0' for b, n in zip(_SPOT, blocked_bloom.LANE_NAMES))}, false) AS passed
+        FROM customer LEFT JOIN b ON block = {key_sql('c_name')} % {_N_BLOCKS})
+    SELECT count(*) AS probes, CAST(count_if(present) AS BIGINT) AS members, CAST(count_if(passed) AS BIGINT) AS passed,
+        CAST(count_if(passed AND NOT present) AS BIGINT) AS false_positives,
+        CAST(count_if(present AND NOT passed) AS BIGINT) AS false_negatives,
+        round(count_if(passed AND NOT present) / count_if(NOT present), 6) AS false_positive_rate FROM t""")
+def blocked_bloom_report(spark, folder):
+    probes = table(spark, folder, "customer").select("c_custkey", "c_name")
+    probed = blocked_bloom.blocked_probe(probes, "c_name", _blocked(spark, folder))
+    report = membership.bloom_report(probed, inputs.building_customers(spark, folder), "c_name")
+    return report.withColumn("false_positive_rate", r6(F.col("false_positive_rate")))
+
+
 @query("SNK1", f"""SELECT CAST((c_custkey - (SELECT min(c_custkey) FROM customer)) // 100000 AS BIGINT) AS line_no,
     string_agg(CASE WHEN maybe_present THEN 'T' ELSE 'F' END, ' ' ORDER BY c_custkey) AS line FROM ({_PROBED}) GROUP BY 1""")
 def flag_lines(spark, folder):

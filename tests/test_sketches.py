@@ -9,7 +9,7 @@ from tallyvein.functions.grouping import group_values
 from tallyvein.functions.hashing import hash_parameters, linear_hash, string_key, trailing_zeros
 from tallyvein.functions.ranking import positions, with_top_counts
 from tallyvein.functions.text import epoch_seconds, list_length, tags, tokens
-from tallyvein.operators import distinct, membership, sampling, sketches
+from tallyvein.operators import blocked_bloom, distinct, membership, sampling, sketches
 from tallyvein.session import Scratch
 
 
@@ -35,6 +35,35 @@ def test_both_probes_agree(spark):
     assert (None, False) in small
 
 
+def test_blocked_filter_near_theory(spark):
+    members = names(spark, 0, 4000)
+    n_blocks = blocked_bloom.blocks_for(4000)
+    bloom = blocked_bloom.blocked_build(members.unionByName(members), "name", n_blocks)
+    report = membership.bloom_report(blocked_bloom.blocked_probe(names(spark, 0, 44000), "name", bloom), members, "name").first()
+    theory = blocked_bloom.expected_rate(4000, n_blocks)
+    assert report["false_negatives"] == 0 and report["members"] == 4000
+    # 40,000 probes: four standard deviations, with as much again for the filling of this one filter.
+    assert abs(report["false_positive_rate"] - theory) < 8 * (theory / 40000) ** 0.5
+    assert theory < 0.02
+
+
+def test_blocked_filters_merge_and_probe_both_ways(spark):
+    n_blocks = 7
+    parts = [blocked_bloom.blocked_build(names(spark, a, a + 60), "name", n_blocks) for a in (0, 60)]
+    merged = blocked_bloom.blocked_merge(parts)
+    whole = blocked_bloom.blocked_build(names(spark, 0, 120), "name", n_blocks)
+    assert sorted(merged.blocks.collect()) == sorted(whole.blocks.collect())
+    with pytest.raises(ValueError):
+        blocked_bloom.blocked_merge([whole, blocked_bloom.blocked_build(names(spark, 0, 9), "name", 3)])
+    probes = names(spark, 0, 300).unionByName(spark.createDataFrame([(None,), ("",)], "name string")).withColumn("block", F.lit(1)).withColumn("lane0", F.lit("x"))
+    small = blocked_bloom.blocked_probe(probes, "name", merged)
+    assert small.columns == ["name", "block", "lane0", "maybe_present"]
+    large = blocked_bloom.blocked_probe(probes, "name", blocked_bloom.BlockedFilter(merged.blocks.where("false"), 10**7))
+    assert small.count() == large.count() == 302 and small.where("maybe_present").count() >= 120
+    assert large.where("maybe_present").count() == 0 and not small.where("name is null and maybe_present").count()
+    assert small._jdf.queryExecution().executedPlan().toString().count("Join") == 1
+
+
 def test_large_filter_is_not_broadcast(spark):
     bloom = membership.bloom_build(names(spark, 0, 10), "name", 10**9)
     assert not bloom.broadcastable
