@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from tallyvein.llm.words import _LOWER, mix, prefix_hashes, span_hashes, text_slices, window_hashes, word_spans
+from tallyvein.llm.words import _LOWER, mix, text_slices, window_hashes, word_names, word_spans
 
 WINDOW = 13
 SUBSTITUTED = 2
@@ -37,7 +37,7 @@ BETWEEN[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = F
 
 def _words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     starts, ends = word_spans(data, offsets, BETWEEN)
-    return span_hashes(prefix_hashes(_LOWER[data]), starts, ends), np.searchsorted(starts, offsets)
+    return word_names(_LOWER[data], starts, ends), np.searchsorted(starts, offsets)
 
 
 def masked_hashes(words: np.ndarray, mask: tuple[int, ...], number: int) -> np.ndarray:
