@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -74,24 +74,38 @@ def read_users(spark: SparkSession, path: str) -> DataFrame:
     return read_json_records(spark, path, USER_SCHEMA)
 
 
+# One entry of an object of numbers, and what may stand around entries.
+_ENTRY = r'(?s)^\s*"(?:[^"\\]++|\\.)*+"\s*:\s*-?[0-9][-+0-9.eE]*\s*$'
+_BETWEEN = r"(?s)^[\s{}]*$"
+
+
 def read_average_map(spark: SparkSession, path: str, key: str = "id", value: str = "average") -> DataFrame:
-    """One JSON object ``{"id": number, ...}`` as rows.
+    """One JSON object ``{"id": number, ...}`` per file, as rows; ids are decoded, whatever they hold.
 
-    The object is split at its commas by the text reader, so many tasks share one long file. An
-    entry that is not ``"id": number`` raises, so a comma inside an id cannot pass unnoticed.
+    The text reader cuts the object at every comma, so many tasks share one long file. A fragment with
+    both quotes of its id is an entry and stays where it was read. Only fragments of ids with commas are
+    shuffled: quotes are summed over blocks of the file, then inside each block, and the sum before a
+    fragment names its entry. Whatever is not an entry raises.
     """
-    entry = r'(?s)^[\s{]*"((?:[^"\\]|\\.)*)"\s*:\s*([-+0-9.eE]+)[\s}]*$'
-    text = spark.read.option("lineSep", ",").text(path)
-    ok = F.col("value").rlike(entry)
-    bad = F.raise_error(F.concat(F.lit("not an id and a number: "), F.col("value")))
-    return (
-        text.where(~F.col("value").rlike(r"(?s)^[\s{}]*$"))
-        .select(F.when(ok, F.col("value")).otherwise(bad.cast("string")).alias("value"))
-        .select(
-            F.regexp_extract("value", entry, 1).alias(key),
-            F.regexp_extract("value", entry, 2).cast("double").alias(value),
-        )
-    )
+    quotes = F.size(F.split(F.regexp_replace("value", r"(?s)\\.", ""), '"')).cast("long") - 1
+    place = [F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block")]
+    fragments = spark.read.option("lineSep", ",").text(path).select(F.col("value").alias("text"), quotes.alias("quotes"), *place)
+    # Ids of rows rise within a task, and one task reads a block.
+    pieces = fragments.where("quotes < 2").withColumn("nth", F.monotonically_increasing_id())
+    blocks = pieces.groupBy("file", "block").agg(F.sum("quotes").alias("total"))
+    earlier = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    blocks = blocks.select("file", "block", F.coalesce(F.sum("total").over(earlier), F.lit(0)).alias("ahead"))
+    before = Window.partitionBy("file", "block").orderBy("nth").rowsBetween(Window.unboundedPreceding, -1)
+    pieces = pieces.join(blocks, ["file", "block"]).withColumn("ahead", F.col("ahead") + F.coalesce(F.sum("quotes").over(before), F.lit(0)))
+    inside = pieces.where((F.col("ahead") % 2 == 1) | ~F.col("text").rlike(_BETWEEN))
+    parts = F.array_sort(F.collect_list(F.struct("block", "nth", "text")))
+    joined = inside.groupBy("file", F.floor(F.col("ahead") / 2).alias("entry")).agg(F.array_join(F.transform(parts, lambda x: x["text"]), ",").alias("text"))
+    entries = fragments.where("quotes >= 2").select("text").unionByName(joined.select("text"))
+    bare = F.regexp_replace(F.regexp_replace("text", r"^\s*\{", ""), r"\}\s*$", "")
+    bad = F.raise_error(F.concat(F.lit("not an id and a number: "), F.col("text"))).cast("string")
+    checked = entries.withColumn("text", bare).select(F.when(F.col("text").rlike(_ENTRY), F.col("text")).otherwise(bad).alias("text"))
+    parsed = F.from_json(F.concat(F.lit("{"), F.col("text"), F.lit("}")), "map<string,double>", {"mode": "FAILFAST"})
+    return checked.select(F.explode(parsed).alias(key, value))
 
 
 def json_field(lines: DataFrame, field: str, name: str, column: str = "value", kind: str = "string") -> DataFrame:

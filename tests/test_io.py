@@ -2,6 +2,7 @@
 
 import json
 import os
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -53,10 +54,42 @@ def test_average_map_is_read_whole(spark, tmp_path):
     assert readers.read_average_map(spark, pretty).count() == 501
 
 
-def test_average_map_rejects_what_it_cannot_split(spark, tmp_path):
-    path = write(f"{tmp_path}/avg.json", '{"a,b": 1.0, "c": 2.0}')
+@pytest.fixture
+def small_splits(spark):
+    kept = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "700")
+    spark.conf.set("spark.sql.files.openCostInBytes", "1")
+    yield
+    for k, v in kept.items():
+        spark.conf.set(k, v)
+
+
+@pytest.mark.parametrize("indent,ascii_only", [(None, True), (1, False)])
+def test_average_map_over_many_splits(spark, tmp_path, small_splits, indent, ascii_only):
+    """Ids with commas, escapes, braces, colons and line ends, longer than a split, against the json module."""
+    rng = random.Random(5)
+    letters = [",", ",", '"', "\\", "{", "}", ":", ": 1", "\n", " ", "é", "\U0001f600", "a", "b7"]
+    averages = {"".join(rng.choices(letters, k=rng.randrange(12))) + str(i): rng.choice([i / 7, -i, 1e-9 * i]) for i in range(800)}
+    averages |= {"": 0.5, ",": 1, ",,": 2.5, ': 1,b': 3, "a,": 4, 'x,"': 5, "long," * 700: 6, "w" * 9000: 7, ": 1": 8}
+    entries = list(averages.items())
+    rng.shuffle(entries)
+    half = len(entries) // 2
+    for name, part in (("x", entries[:half]), ("y", entries[half:])):
+        write(f"{tmp_path}/m/{name}.json", json.dumps(dict(part), indent=indent, ensure_ascii=ascii_only))
+    found = readers.read_average_map(spark, f"{tmp_path}/m")
+    assert spark.read.option("lineSep", ",").text(f"{tmp_path}/m").rdd.getNumPartitions() > 10
+    rows = found.collect()
+    assert len(rows) == len(averages) and {r["id"]: r["average"] for r in rows} == averages
+
+
+def test_average_map_without_entries(spark, tmp_path):
+    assert readers.read_average_map(spark, write(f"{tmp_path}/avg.json", " { }\n")).count() == 0
+
+
+@pytest.mark.parametrize("text", ['{"a": 1.0, b": 2.0}', '{"a": "x"}', '{"a,b: 1}', '{"a": 1 2, "c": 2}', '{"a": 1} more', '{"a": 1, 5}'])
+def test_average_map_rejects_what_is_no_entry(spark, tmp_path, text):
     with pytest.raises(Exception, match="not an id and a number"):
-        readers.read_average_map(spark, path).collect()
+        readers.read_average_map(spark, write(f"{tmp_path}/avg.json", text)).collect()
 
 
 def test_users(spark, tmp_path):
