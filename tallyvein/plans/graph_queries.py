@@ -41,6 +41,9 @@ def similar(spark, folder):
     return Scratch(spark, "graph").write(edges.select("src", "dst"), "edges")
 
 
+_BIPARTITE = f"(SELECT 's:' || i AS src, 'u:' || u AS dst FROM {CUSTOMER_NATIONS})"
+
+
 @query("J1 PRJ4 AR2", _CO.format(common=2))
 def cooccurrence_pairs(spark, folder):
     return graphs.cooccurrence_graph(customer_parts(spark, folder), "o_custkey", "l_partkey", 2)
@@ -103,7 +106,7 @@ def components(spark, folder):
     return communities.connected_components(graphs.endpoints(edges), edges)
 
 
-@query("GR6", f"""WITH RECURSIVE {_edges(f"(SELECT 's:' || i AS src, 'u:' || u AS dst FROM {CUSTOMER_NATIONS})")},
+@query("GR6", f"""WITH RECURSIVE {_edges(_BIPARTITE)},
     r(id, c) AS (SELECT DISTINCT src, src FROM e UNION SELECT b.dst, r.c FROM r JOIN b ON b.src = r.id)
     SELECT id, min(c) AS component FROM r GROUP BY id""")
 def bipartite_components(spark, folder):
@@ -206,6 +209,15 @@ def betweenness_lines(spark, folder):
     return sinks.betweenness_lines(scores)
 
 
+@query("GR5 GR3 AGG18 SNK7", f"""WITH {_betweenness(_BIPARTITE)} SELECT round(betweenness, 6) AS score, src, dst,
+    '(''' || src || ''', ''' || dst || ''') , ' || round(betweenness, 6) AS line FROM s""")
+def bipartite_betweenness(spark, folder):
+    """Shortest ways between customers and nations over each of their edges, in the line form of that graph."""
+    edges = graphs.bipartite_graph(customer_nations(spark, folder), "o_custkey", "n_name")
+    scores = communities.edge_betweenness(Scratch(spark, "graph").write(edges, "edges"))
+    return sinks.betweenness_lines(scores.withColumn("betweenness", r6(F.col("betweenness"))), " , ")
+
+
 @query("RNK9", f"""WITH {_betweenness(_SIM)} SELECT src, dst, round(betweenness, 6) AS betweenness FROM s
     WHERE betweenness >= (SELECT max(betweenness) FROM s) * (1 - 1e-9)""")
 def top_score_edges(spark, folder):
