@@ -100,6 +100,18 @@ def test_pairs_that_fail_do_not_leave_the_task(spark):
     assert {tuple(r) for r in shared_pairs(df, "u", "i", rule, expansion=0.0).collect()} == brute(rows, rule)
 
 
+@pytest.mark.parametrize("bound", [1_000, 80], ids=["short", "long users added up first"])
+def test_expanded_pairs_set_the_tasks(spark, monkeypatch, bound):
+    monkeypatch.setattr(overlap, "TASK_PAIRS", bound)
+    rows = [(u, i) for u in range(60) for i in range(u % 7, 90, 7)]
+    df = spark.createDataFrame(rows, "u int, i int")
+    expanded = sum(n * (n - 1) / 2 for n in pd.Series([i for _, i in rows]).value_counts())
+    found = shared_pairs(df, "u", "i", Rule(overlap=3), with_sizes=False)
+    if bound > 80:
+        assert found.rdd.getNumPartitions() == -(-expanded // bound)
+    assert {tuple(r) for r in found.collect()} == {r[:3] for r in brute(rows, Rule(overlap=3))}
+
+
 def test_bands_reach_the_stated_recall():
     for jaccard in (0.3, 0.5, 0.8, 0.95, 1.0):
         for recall in (0.5, 0.9, 0.99):
