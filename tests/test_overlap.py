@@ -100,6 +100,15 @@ def test_pairs_that_fail_do_not_leave_the_task(spark):
     assert {tuple(r) for r in shared_pairs(df, "u", "i", rule, expansion=0.0).collect()} == brute(rows, rule)
 
 
+def test_items_go_only_where_both_groups_hold_them(spark):
+    rows = spark.createDataFrame([(u, i) for u in range(20) for i in range(u * 10, u * 10 + 15)], "user int, item int")
+    users = spark.createDataFrame([(u, u, 0, 15) for u in range(20)], "user int, group int, at int, size long")
+    met = overlap._meetings(overlap.Scratch(spark, "meetings"), rows, users, users, overlap.F.lit(0)).collect()
+    # Each user meets itself by 15 items and each neighbour by 5; every group to every group would be 20 * 20 * 30 rows.
+    assert len(met) == 2 * (20 * 15 + 2 * 19 * 5)
+    assert all(abs(r["row"] - r["column"]) <= 1 for r in met)
+
+
 @pytest.mark.parametrize("bound", [1_000, 80], ids=["short", "long users added up first"])
 def test_expanded_pairs_set_the_tasks(spark, monkeypatch, bound):
     monkeypatch.setattr(overlap, "TASK_PAIRS", bound)
