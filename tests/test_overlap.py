@@ -144,3 +144,20 @@ def test_approximate_pairs_are_right_and_nearly_all(spark):
     assert report.wrong == 0 and report.pairs > 300 and report.recall >= 0.9
     assert found.count() == report.found
     assert minhash.approximate_pairs(df.limit(0), "u", "i", 0.7).count() == 0
+
+
+def test_copies_are_one_until_pairs_pass(spark, monkeypatch):
+    """Five sets of 30 users each: candidates are pairs of sets; equal signatures of other sets are no copies."""
+    rows = [(100 * s + c, i) for s in range(5) for c in range(30) for i in range(s * 3, s * 3 + 12)]
+    df = spark.createDataFrame(rows, "u long, i long")
+    written, plain = {}, minhash.Scratch.write
+    monkeypatch.setattr(minhash.Scratch, "write", lambda self, table, name: written.setdefault(name, plain(self, table, name)))
+    rule = Rule(jaccard=0.5)
+    found = minhash.approximate_pairs(df, "u", "i", 0.5, 0.99)
+    assert {tuple(r) for r in found.collect()} <= brute(rows, rule)
+    assert found.where("src div 100 = dst div 100").count() == 5 * 30 * 29 / 2
+    assert written["candidates"].count() <= 10
+    flat = lambda rows, bands, depth: rows.select("user").distinct().withColumn("keys", minhash.F.array(*[minhash.F.lit(b).cast("long") for b in range(bands)]))
+    monkeypatch.setattr(minhash, "signatures", flat)
+    written.clear()
+    assert {tuple(r) for r in minhash.approximate_pairs(df, "u", "i", 0.5).collect()} == brute(rows, rule)
