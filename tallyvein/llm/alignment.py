@@ -23,6 +23,7 @@ import os
 import re
 from collections.abc import Iterable, Iterator
 from itertools import accumulate, chain
+from operator import attrgetter
 
 import numpy as np
 import pyarrow as pa
@@ -43,7 +44,7 @@ STRETCH = 1 << 19
 PAIR = 1 << 20
 #: Segments that are encoded together.
 TOGETHER = 4_000
-_EDGE = re.compile(r"^(\s|$)|\s\Z")
+_SPAN = attrgetter("id", "begin", "end")
 _CUT = re.compile(r"(?<=\S) (?=\S)")
 
 
@@ -70,7 +71,8 @@ class Aligner:
     """Tokenizers A (a byte-level file of the tokenizers library) and B (a sentencepiece model with byte fallback).
 
     The table of segments: ``index`` numbers them, ``groups`` has their groups as written, each with ``;`` behind
-    it, ``sizes`` their tokens of A and of B and their groups, and ``pairs`` their links from ``starts`` on.
+    it, ``sizes`` their tokens of A and of B and their groups, and ``pairs`` their links from ``starts`` on. The arrays
+    have room beyond what is in use, so that adding to them does not copy them each time.
     A segment whose tokens' bytes differ from a space and itself has ``sizes`` of -1.
     """
 
@@ -96,14 +98,16 @@ class Aligner:
         # A token of A as it is written inside a group and at the end of its side; then those of B.
         self.written = [f"{i}," for i in range(len(self.bytes_a))] + [f"{i}|" for i in range(len(self.bytes_a))]
         self.written += [f"{i}," for i in range(len(pieces))] + [f"{i};" for i in range(len(pieces))]
+        self.lengths_written = np.array([len(x) for x in self.written], np.int64)
         self.clear()
 
     def clear(self) -> None:
         self.index: dict[str, int] = {}
         self.groups: list[str] = []
-        self.sizes = np.zeros((0, 3), np.int64)
-        self.starts = np.zeros(1, np.int64)
-        self.pairs = np.zeros(0, np.int64)
+        self.n_pairs = 0
+        self.sizes = np.zeros((TOGETHER, 3), np.int64)
+        self.starts = np.zeros(TOGETHER + 1, np.int64)
+        self.pairs = np.zeros(TOGETHER, np.int64)
 
     def learn(self, words: Iterable[str]) -> None:
         """Align the segments that are not in the table yet."""
@@ -114,32 +118,39 @@ class Aligner:
 
     def _keep(self, words: list[str]) -> None:
         """Add new segments. Those without white space at an edge are encoded as one text, with a space between each two; others, and all where that fails, one by one."""
-        plain = [word for word in words if not _EDGE.search(word)]
+        plain, edged = [], []
+        for word in words:
+            (plain if word and word == word.strip() else edged).append(word)
         together = self._align(plain) if plain else None
         parts, order = ([together], plain) if together else ([], [])
-        single = words if not together else [word for word in words if _EDGE.search(word)]
+        single = edged if together else words
         none = [""], np.full((1, 3), -1, np.int64), np.zeros(1, np.int64), np.zeros(0, np.int64)
         parts += [self._align([word]) or none for word in single]
-        self.index.update(zip([*order, *single], range(len(self.index), len(self.index) + len(words))))
+        first, last = len(self.index), len(self.index) + len(words)
+        self.index.update(zip([*order, *single], range(first, last)))
         self.groups += chain.from_iterable(part[0] for part in parts)
-        self.sizes = np.concatenate([self.sizes, *(part[1] for part in parts)])
-        self.starts = np.concatenate([self.starts, self.starts[-1] + np.cumsum(np.concatenate([part[2] for part in parts]))])
-        self.pairs = np.concatenate([self.pairs, *(part[3] for part in parts)])
+        links = np.concatenate([part[3] for part in parts])
+        self.sizes, self.starts = _room_for(self.sizes, last), _room_for(self.starts, last + 1)
+        self.pairs = _room_for(self.pairs, self.n_pairs + len(links))
+        self.sizes[first:last] = np.concatenate([part[1] for part in parts])
+        self.starts[first + 1 : last + 1] = self.n_pairs + np.cumsum(np.concatenate([part[2] for part in parts]))
+        self.pairs[self.n_pairs : self.n_pairs + len(links)] = links
+        self.n_pairs += len(links)
 
     def _align(self, words: list[str]) -> tuple[list[str], np.ndarray, np.ndarray, np.ndarray] | None:
         """(groups, sizes, links per segment, links) of segments in a row; None if their tokens' bytes differ from a space before each."""
         text = " ".join(words)
         raw = (" " + text).encode()
         encoding = self.a.encode(" " + text, add_special_tokens=False)
-        pieces = [(p.id, p.begin, p.end) for p in self.b.encode(text, return_type="proto").pieces]
-        ids_a, ids_b = encoding.ids, [p[0] for p in pieces]
+        pieces = np.fromiter(chain.from_iterable(map(_SPAN, self.b.encode(text, return_type="proto").pieces)), np.int64).reshape(-1, 3)
+        ids_a, ids_b = encoding.ids, pieces[:, 0].tolist()
         if not b"".join(map(self.bytes_a.__getitem__, ids_a)) == raw == b"".join(map(self.bytes_b.__getitem__, ids_b)):
             return None
         lengths = np.array([1 + len(word) if word.isascii() else 1 + len(word.encode()) for word in words], np.int64)
         bounds = np.concatenate([[0], np.cumsum(lengths)])
-        flat_a, flat_b = np.array(ids_a, np.int64), np.array(ids_b, np.int64)
+        flat_a, flat_b = np.array(ids_a, np.int64), pieces[:, 0]
         spans_a = np.fromiter(chain.from_iterable(encoding.offsets), np.int64).reshape(-1, 2)
-        spans_b = np.array(pieces, np.int64)[:, 1:]
+        spans_b = pieces[:, 1:]
         ends_a = _ends(_byte_places(raw)[spans_a], self.lengths_a[flat_a])
         ends_b = _ends(1 + spans_b, self.lengths_b[flat_b])
         of_a, of_b = (np.searchsorted(bounds, ends, "left") - 1 for ends in (ends_a, ends_b))
@@ -157,12 +168,22 @@ class Aligner:
         codes_a = flat_a + last_a * len(self.bytes_a)
         codes_b = flat_b + last_b * len(self.bytes_b) + 2 * len(self.bytes_a)
         order = np.argsort(np.concatenate([2 * in_a, 2 * in_b + 1]), kind="stable")
-        texts = list(map(self.written.__getitem__, np.concatenate([codes_a, codes_b])[order].tolist()))
-        stops = np.cumsum(n_a + n_b).tolist()
-        groups = ["".join(texts[start:stop]) for start, stop in zip([0, *stops], stops)]
+        codes = np.concatenate([codes_a, codes_b])[order]
+        written = "".join(map(self.written.__getitem__, codes.tolist()))
+        stops = np.concatenate([[0], np.cumsum(self.lengths_written[codes])])[np.cumsum(n_a + n_b)].tolist()
+        groups = [written[start:stop] for start, stop in zip([0, *stops], stops)]
         return groups, np.stack([n_a, n_b, n_groups], axis=1), counts, pairs
 
 
+def _room_for(rows: np.ndarray, n: int) -> np.ndarray:
+    """The array, or a copy with room for ``n`` rows and more."""
+    if n <= len(rows):
+        return rows
+    out = np.zeros((n + n // 2, *rows.shape[1:]), rows.dtype)
+    out[: len(rows)] = rows
+    return out
+
+
 def _byte_places(data: bytes) -> np.ndarray:
     """Where each character of UTF-8 starts, and the end."""
     values = np.frombuffer(data, np.uint8)
@@ -258,7 +279,7 @@ def align_texts(both: Aligner, texts: list[str | None]) -> Iterator[Aligned]:
 
 
 def _room(both: Aligner) -> Aligner:
-    if len(both.index) > KEEP or len(both.pairs) > KEEP_LINKS:
+    if len(both.index) > KEEP or both.n_pairs > KEEP_LINKS:
         both.clear()
     return both
 

@@ -121,3 +121,13 @@ def test_empty_tables_and_clashing_columns(spark):
     df = spark.createDataFrame([(1, "some words", *names)], "doc_id long, text string, " + ", ".join(f"{n} string" for n in names))
     assert align_corpus(df, A, B, frequent=0).count() == 1
     assert align_corpus(df.limit(0), A, B).collect() == []
+
+
+def test_table_of_segments_is_not_copied_for_each_addition():
+    both = Aligner(A, B)
+    both.learn(f"word{i}" for i in range(2 * alignment.TOGETHER))
+    before = both.pairs, both.sizes, both.starts
+    both.learn(["another", " edge", "third\n"])
+    assert all(a is b for a, b in zip(before, (both.pairs, both.sizes, both.starts)))
+    text, pairs = align_text(both, "another word7 third")
+    assert (text, pairs) == align_text(Aligner(A, B), "another word7 third")
