@@ -161,3 +161,18 @@ def test_copies_are_one_until_pairs_pass(spark, monkeypatch):
     monkeypatch.setattr(minhash, "signatures", flat)
     written.clear()
     assert {tuple(r) for r in minhash.approximate_pairs(df, "u", "i", 0.5).collect()} == brute(rows, rule)
+
+
+@pytest.mark.parametrize(("rule", "text"), [(Rule(overlap=4), False), (Rule(jaccard=0.3), True), (Rule(jaccard=0.5), False)], ids=str)
+def test_sets_with_few_items_between_them_meet_as_matrices(spark, monkeypatch, rule, text):
+    rng = random.Random(11)
+    rows = [(u, i) for u in range(300) for i in rng.sample(range(30), rng.randint(1, 14))]
+    rows += [(u + 1000, i) for u, i in rows if u < 20]  # equal sets
+    rows = [(f"u{u:04d}", f"i{i}") for u, i in rows] if text else rows
+    df = spark.createDataFrame(rows, "u string, i string" if text else "u bigint, i bigint")
+    monkeypatch.setattr(overlap, "BLOCK_SETS", 40)
+    monkeypatch.setattr(overlap, "TILE_SETS", 16)
+    monkeypatch.setattr(overlap, "_prefix_pairs", None)  # must not be needed
+    got = shared_pairs(df, "u", "i", rule, expansion=0.0).collect()
+    assert len(got) == len({(r["src"], r["dst"]) for r in got})
+    assert {tuple(r) for r in got} == brute(rows, rule)
