@@ -176,3 +176,34 @@ def test_sets_with_few_items_between_them_meet_as_matrices(spark, monkeypatch, r
     got = shared_pairs(df, "u", "i", rule, expansion=0.0).collect()
     assert len(got) == len({(r["src"], r["dst"]) for r in got})
     assert {tuple(r) for r in got} == brute(rows, rule)
+
+
+@pytest.mark.parametrize(("rule", "text"), [(Rule(overlap=3), False), (Rule(jaccard=0.4), True)], ids=str)
+def test_users_of_equal_sets_meet_in_the_tasks_of_the_matrices(spark, monkeypatch, rule, text):
+    """Pairs of users leave the tasks: no join or exchange lies behind the products. Sets with more users than a row holds stand in several."""
+    rng = random.Random(17)
+    sets = [rng.sample(range(20), rng.randint(1, 9)) for _ in range(60)] + [[1], [1, 2, 3]]
+    rows = [(100 * s + c, i) for s, items in enumerate(sets) for c in range(1 if s % 3 else 8) for i in items]
+    rows = [(f"u{u:05d}", f"i{i}") for u, i in rows] if text else rows
+    df = spark.createDataFrame(rows, "u string, i string" if text else "u bigint, i bigint")
+    for name, value in (("BLOCK_SETS", 16), ("TILE_SETS", 4), ("ROW_USERS", 3), ("PAIRS_AT_ONCE", 10), ("_prefix_pairs", None)):
+        monkeypatch.setattr(overlap, name, value)
+    found = shared_pairs(df, "u", "i", rule, expansion=0.0)
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" not in plan.partition("MapInArrow")[0]
+    got = found.collect()
+    assert len(got) == len({(r["src"], r["dst"]) for r in got})
+    assert {tuple(r) for r in got} == brute(rows, rule)
+
+
+def test_candidates_that_cannot_pass_are_not_written(spark, monkeypatch):
+    """Sets that agree in a band, but in few items."""
+    rng = random.Random(19)
+    rows = [(u, i) for u in range(250) for i in rng.sample(range(40), 8)]
+    df = spark.createDataFrame(rows, "u long, i long")
+    written, plain = {}, minhash.Scratch.write
+    monkeypatch.setattr(minhash.Scratch, "write", lambda self, table, name: written.setdefault(name, plain(self, table, name)))
+    rule = Rule(jaccard=0.5)
+    found = {tuple(r) for r in minhash.approximate_pairs(df, "u", "i", 0.5, 0.99).collect()}
+    assert found <= brute(rows, rule) and len(found) >= 0.9 * len(brute(rows, rule))
+    assert written["candidates"].count() <= 150  # of 31,125 pairs; 5 pass
